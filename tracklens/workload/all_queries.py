@@ -1,4 +1,4 @@
 """Imports every query module, so that the registry is full."""
 
-from tracklens.workload import catalogue  # noqa: F401
+from tracklens.workload import calendar, catalogue, plan  # noqa: F401
 from tracklens.workload.registry import ORACLES, QUERIES  # noqa: F401
