@@ -48,7 +48,12 @@ def _on(left_keys: list[str], right: DataFrame) -> Column:
 
 
 def slices(df: DataFrame, keys: list[str], at: str, rows: int = SLICE_ROWS) -> DataFrame:
-    """Add ``_slice`` (0 for every key of at most ``rows`` rows) and ``_parts`` (NULL for those keys)."""
+    """Add ``_slice`` (0 for every key of at most ``rows`` rows) and ``_parts`` (NULL for those keys).
+
+    A frame that is sliced already keeps its slices, so steps over the same series share one partitioning.
+    """
+    if SLICE in df.columns:
+        return df
     pos = position(df, at)
     large = (
         df.groupBy(*keys)
@@ -80,10 +85,11 @@ def running(
     * ``total``: sum of the value up to and including the row;
     * ``total_before``: sum over the earlier rows, 0 at the start;
     * ``last``: latest non-null value up to and including the row;
+    * ``last_before``: latest non-null value on an earlier row;
     * ``previous``: the value on the row before, NULL at the start.
     """
     ready = SLICE in df.columns
-    base = df if ready else slices(df, keys, order[0], rows)
+    base = slices(df, keys, order[0], rows)
     base = base.withColumns({f"_v_{name}": value for name, (_, value) in specs.items()})
     by_order = F.struct(*order)
 
@@ -92,7 +98,7 @@ def running(
         value = F.col(f"_v_{name}")
         if kind in ("total", "total_before"):
             summary.append(F.sum(value).alias(f"_c_{name}"))
-        elif kind == "last":
+        elif kind in ("last", "last_before"):
             summary.append(F.max_by(value, F.when(value.isNotNull(), by_order)).alias(f"_c_{name}"))
         elif kind == "previous":
             summary.append(F.max_by(F.struct(value.alias("x")), by_order).alias(f"_c_{name}"))
@@ -128,6 +134,8 @@ def running(
             added[name] = F.coalesce(carried, F.lit(0)) + F.coalesce(here, F.lit(0))
         elif kind == "last":
             added[name] = F.coalesce(F.last(value, ignorenulls=True).over(upto), carried)
+        elif kind == "last_before":
+            added[name] = F.coalesce(F.last(value, ignorenulls=True).over(earlier), carried)
         else:
             added[name] = F.coalesce(F.lag(F.struct(value.alias("x"))).over(local), carried)["x"]
     helpers = [f"_r_{k}" for k in [*keys, SLICE]] + [f"_v_{n}" for n in specs] + [f"_c_{n}" for n in specs]

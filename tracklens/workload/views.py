@@ -18,13 +18,23 @@ TZ = "America/Los_Angeles"
 class Tables:
     """Lazily opened test tables and the views over them."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, streaming: bool = False):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.streaming = streaming
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    @cached_property
+    def live(self) -> Tables:
+        """The same tables read as streams."""
+        return Tables(self.spark, self.folder, streaming=True)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if not self.streaming:
+            return self.spark.read.parquet(path)
+        schema = self.spark.read.parquet(path).schema
+        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
     @cached_property
     def part(self) -> DataFrame:
