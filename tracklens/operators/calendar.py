@@ -18,6 +18,7 @@ def expand_rules(rules: DataFrame, keep: tuple[str, ...] = ("uid",)) -> DataFram
     """Weekly rules to occurrences at their local clock time, from the start through ``until_utc``.
 
     Each weekday steps by seven days from its own first date, so no day is generated and thrown away.
+    Only the last two dates can pass the end, so only they are compared as instants.
     """
     day = F.explode(F.array_distinct("byday")).alias("_day")
     last = F.convert_timezone(F.lit("UTC"), F.col("tz"), F.col("until_utc")).cast("date")
@@ -33,7 +34,8 @@ def expand_rules(rules: DataFrame, keep: tuple[str, ...] = ("uid",)) -> DataFram
         .withColumn("_date", F.explode(dates))
         .withColumn("occurs_local", starts)
         .withColumn("occurs_utc", to_instant(F.col("occurs_local"), F.col("tz")))
-        .filter((F.col("occurs_local") >= F.col("start_local")) & (F.col("occurs_utc") <= F.col("until_utc")))
+        .filter(F.col("occurs_local") >= F.col("start_local"))
+        .filter((F.col("_date") < F.date_sub("_last", 1)) | (F.col("occurs_utc") <= F.col("until_utc")))
         .select(*keep, "occurs_local", (F.col("occurs_local") + F.col("_length")).alias("ends_local"), "occurs_utc")
     )
 

@@ -1,8 +1,9 @@
 """The ramp limit: a command that follows its target by at most ``rate`` per second.
 
 ``cmd += clamp(want - cmd, -rate * dt, +rate * dt)``, starting from 0, is a recursion over one series:
-no window frame says it, so it runs in Arrow batches per (series, slice). A step is non-decreasing in
-``cmd`` with slope 0 or 1, and so is any chain of steps; such a chain is a short list of corner points.
+no window frame says it, so Spark shuffles and sorts the series and Arrow batches stream through it
+with a command and a time in hand; no series is ever held whole. A step is non-decreasing in ``cmd``
+with slope 0 or 1, and so is any chain of steps; such a chain is a short list of corner points.
 For a series too large for one task every slice is first reduced to its corner points in parallel, the
 small lists are followed in order to find the command each slice starts from, and then all
 slices are computed in parallel with the right start. The result is the same as one long recursion.
@@ -11,13 +12,15 @@ slices are computed in parallel with the right start. The result is the same as
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tracklens.operators.ordered import _PARTS, SLICE, SLICE_ROWS, drop_slices, running, slices
+from tracklens.operators.ordered import _PARTS, SLICE, SLICE_ROWS, slices
 
 Corners = tuple[list[float], list[float]]
 
@@ -75,8 +78,14 @@ def then_step(corners: Corners, want: float, limit: float) -> Corners:
     return keep_x, keep_y
 
 
-def _series(pdf: pd.DataFrame, order: list[str]) -> pd.DataFrame:
-    return pdf.sort_values(order, kind="stable", na_position="first")
+def _in_order(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """Each group whole in one partition, its rows together and in order."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *groups).sortWithinPartitions(*groups, *order)
+
+
+def _columns(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
+    return zip(*[batch.column(n).to_pylist() for n in names], strict=True)
 
 
 def ramp_limit(
@@ -88,63 +97,110 @@ def ramp_limit(
     out: str = "cmd",
     rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add the ramped command. The first row of a series has no elapsed time, so it starts at 0; ``rate <= 0`` disables."""
+    """Add the ramped command; the first order column is the time.
+
+    The first row of a series has no elapsed time, so it starts at 0. A row without a target holds the
+    command. ``rate <= 0`` disables the limit.
+    """
     if rate <= 0:
         return df.withColumn(out, F.col(want).cast("double"))
     keys, order = list(keys), list(order)
-    sliced = slices(df, keys, order[0], rows)
-    timed = running(sliced, keys, order, {"_before": ("previous", F.col(order[0]))}, rows)
-    elapsed = _seconds(F.col("_before"), F.col(order[0]))
-    timed = timed.withColumn("_limit", F.lit(float(rate)) * F.coalesce(elapsed, F.lit(0.0))).drop("_before")
-
-    names = [*keys, SLICE]
-    head = [timed.schema[k] for k in names]
-
-    def corners_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _series(pdf, order)
-        corners: Corners = ([0.0], [0.0])
-        for w, limit in zip(pdf[want].to_numpy(), pdf["_limit"].to_numpy(), strict=True):
-            corners = then_step(corners, w, limit)
-        return pd.DataFrame([[*pdf[names].iloc[0], *corners]], columns=[*names, "_x", "_y"])
-
-    def starts_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SLICE)
-        cmd, starts = 0.0, []
-        for x, y in zip(pdf["_x"], pdf["_y"], strict=True):
-            starts.append(cmd)
-            cmd = value_at((list(x), list(y)), cmd)
-        return pdf[names].assign(_start=starts)
-
+    groups = [*keys, SLICE]
+    sliced = slices(df, keys, order[0], rows).withColumns(
+        {"_us": F.unix_micros(F.col(order[0]).cast("timestamp")), "_want": F.col(want).cast("double")}
+    )
+    given = df.columns
+
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per slice: its first time and target, its last time, and the corners of the steps after the first."""
+        group, row, corners, done = None, None, None, []
+        for batch in batches:
+            for g, us, w in zip(
+                _columns(batch, groups), batch.column("_us").to_pylist(), batch.column("_want").to_pylist(), strict=True
+            ):
+                if g != group:
+                    if group is not None:
+                        done.append((*group, *row, *corners))
+                    group, row, corners = g, [us, w, us], ([0.0], [0.0])
+                else:
+                    if w is not None:
+                        corners = then_step(corners, w, rate * ((us - row[2]) / 1_000_000.0))
+                    row[2] = us
+            yield _batch(done, chain_arrow)
+            done = []
+        if group is not None:
+            yield _batch([(*group, *row, *corners)], chain_arrow)
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The command and the time each slice starts from, following the slices of a series in order."""
+        key, cmd, before = None, 0.0, None
+        for batch in batches:
+            done = []
+            for row in _columns(batch, [*groups, "_first", "_target", "_last", "_x", "_y"]):
+                g, (first, target, last, x, y) = row[: len(groups)], row[len(groups) :]
+                if g[:-1] != key:
+                    key, cmd, before = g[:-1], 0.0, None
+                done.append((*g, cmd, before))
+                if target is not None and before is not None:
+                    cmd = step(cmd, target, rate * ((first - before) / 1_000_000.0))
+                cmd, before = value_at((x, y), cmd), last
+            yield _batch(done, start_arrow)
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, cmd, before = None, 0.0, None
+        for batch in batches:
+            cmds = []
+            for g, us, w, start, start_us in zip(
+                _columns(batch, groups),
+                *[batch.column(n).to_pylist() for n in ("_us", "_want", "_start", "_start_us")],
+                strict=True,
+            ):
+                if g != group:
+                    group, cmd, before = g, start or 0.0, start_us
+                if w is not None and before is not None:
+                    cmd = step(cmd, w, rate * ((us - before) / 1_000_000.0))
+                before = us
+                cmds.append(cmd)
+            kept = [batch.column(n) for n in given]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(cmds, pa.float64())], names=[*given, out])
+
+    group_fields = [sliced.schema[g] for g in groups]
     points = T.ArrayType(T.DoubleType())
-    chains = (
-        timed.filter(F.col(_PARTS) > 1)
-        .select(*names, *order, F.col(want).cast("double").alias(want), "_limit")
-        .groupBy(*names)
-        .applyInPandas(corners_of, T.StructType([*head, T.StructField("_x", points), T.StructField("_y", points)]))
+    chain_schema = T.StructType(
+        [
+            *group_fields,
+            T.StructField("_first", T.LongType()),
+            T.StructField("_target", T.DoubleType()),
+            T.StructField("_last", T.LongType()),
+            T.StructField("_x", points),
+            T.StructField("_y", points),
+        ]
     )
-    starts = chains.groupBy(*keys).applyInPandas(
-        starts_of, T.StructType([*head, T.StructField("_start", T.DoubleType())])
+    start_schema = T.StructType(
+        [*group_fields, T.StructField("_start", T.DoubleType()), T.StructField("_start_us", T.LongType())]
     )
-    starts = starts.select(*[F.col(n).alias(f"_r_{n}") for n in names], "_start")
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(starts[f"_r_{n}"])
-    ready = timed.join(F.broadcast(starts), same, "left").drop(*[f"_r_{n}" for n in names])
-    ready = ready.withColumn("_start", F.coalesce("_start", F.lit(0.0)))
-
-    kept = [f for f in ready.schema.fields if f.name not in ("_limit", "_start")]
+    chain_arrow, start_arrow = to_arrow_schema(chain_schema), to_arrow_schema(start_schema)
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _series(pdf, order)
-        cmd, cmds = pdf["_start"].iloc[0], []
-        for w, limit in zip(pdf[want].to_numpy(), pdf["_limit"].to_numpy(), strict=True):
-            cmd = step(cmd, w, limit)
-            cmds.append(cmd)
-        return pdf.drop(columns=["_limit", "_start"]).assign(**{out: cmds})
+    large = sliced.filter(F.col(_PARTS) > 1).select(*groups, *[c for c in order if c not in groups], "_us", "_want")
+    per_slice = _in_order(large, groups, order).mapInArrow(chains, chain_schema)
+    in_sequence = _in_order(per_slice, keys, [SLICE]) if keys else per_slice.coalesce(1).sortWithinPartitions(SLICE)
+    begin = in_sequence.mapInArrow(starts, start_schema)
+    begin = begin.select(*[F.col(g).alias(f"_r_{g}") for g in groups], "_start", "_start_us")
 
-    result = ready.groupBy(*names).applyInPandas(follow, T.StructType([*kept, T.StructField(out, T.DoubleType())]))
-    return drop_slices(result)
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(begin[f"_r_{g}"])
+    ready = sliced.join(F.broadcast(begin), same, "left").select(
+        *df.columns, *[c for c in (SLICE,) if c not in df.columns], "_us", "_want", "_start", "_start_us"
+    )
+    result = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
+    return _in_order(ready, groups, order).mapInArrow(follow, result)
 
 
-def _seconds(start: Column, end: Column) -> Column:
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1_000_000.0
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(col), f.type) for col, f in zip(zip(*rows, strict=True), schema, strict=True)]
+        if rows
+        else [pa.array([], f.type) for f in schema],
+        schema=schema,
+    )

@@ -85,17 +85,21 @@ def in_bounds(df: DataFrame) -> DataFrame:
 
 
 def cycle_check(df: DataFrame) -> DataFrame:
-    """Whether a cycle (ms) keeps up with a frame rate (samples per second), and the whole-ms cycle needed."""
-    frame = F.lit(1000.0) / F.col("sps")
+    """Whether a cycle (ms) keeps up with a frame rate (samples per second), and the whole-ms cycle needed.
+
+    No rate gives no frame (NULL).
+    """
+    frame = F.lit(1000.0) / F.nullif(F.col("sps"), F.lit(0))
     return df.withColumns(
         {"frame_ms": frame, "need_ms": F.floor(frame), "keeps_up": F.col("cycle_ms") <= frame}
     )
 
 
 def eval_rate(df: DataFrame) -> DataFrame:
-    """Evaluations per second of a period (ms), and whether the meter is at least as fast."""
+    """Evaluations per second of a period (ms), and whether the meter is at least as fast; a period of 0 has no rate."""
+    per_second = F.lit(1000.0) / F.nullif(F.col("period_ms"), F.lit(0))
     return df.withColumns(
-        {"per_second": F.lit(1000.0) / F.col("period_ms"), "meter_ok": F.col("meter_ms") <= F.col("period_ms")}
+        {"per_second": per_second, "meter_ok": F.col("meter_ms") <= F.col("period_ms")}
     )
 
 

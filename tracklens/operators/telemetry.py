@@ -255,7 +255,12 @@ def hold_last(df: DataFrame, keys: tuple[str, ...] = ("device",), rows: int = SL
 
 
 def align(
-    command: DataFrame, feedback: DataFrame, tolerance_s: float, keys: tuple[str, ...] = ("device",), rows: int = SLICE_ROWS
+    command: DataFrame,
+    feedback: DataFrame,
+    tolerance_s: float,
+    keys: tuple[str, ...] = ("device",),
+    rows: int = SLICE_ROWS,
+    keep_slices: bool = False,
 ) -> DataFrame:
     """Each feedback row with the latest command at or before it, unless that is older than the tolerance.
 
@@ -276,16 +281,16 @@ def align(
         )
     )
     given = F.when(F.col("_side") == 0, F.struct("ts", "command"))
-    carried = running(both, keys, ["ts", "_side", "event_id", "command"], {"_cmd": ("last", given)}, rows)
+    sliced = slices(both, keys, "ts", rows)
+    carried = running(sliced, keys, ["ts", "_side", "event_id", "command"], {"_cmd": ("last", given)}, rows)
     fresh = seconds_between(F.col("_cmd.ts"), F.col("ts")) <= tolerance_s
-    return carried.filter(F.col("_side") == 1).select(
-        *keys,
-        "ts",
-        "event_id",
-        "feedback",
-        F.when(fresh, F.col("_cmd.ts")).alias("command_ts"),
-        F.when(fresh, F.col("_cmd.command")).alias("command"),
-    )
+    found = carried.filter(F.col("_side") == 1).withColumns(
+        {
+            "command_ts": F.when(fresh, F.col("_cmd.ts")),
+            "command": F.when(fresh, F.col("_cmd.command")),
+        }
+    ).drop("_side", "_cmd")
+    return found if keep_slices else drop_slices(found)
 
 
 def response_ok(

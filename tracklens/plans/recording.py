@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklens import dims
 from tracklens.operators import telemetry as T
 from tracklens.operators.ordered import SLICE_ROWS
+from tracklens.session import written
 
 POWER, SETPOINT = "P at POI", "Plant setpoint"
 COARSE_MS = 100
@@ -35,24 +36,20 @@ def resampled(df: DataFrame, signals: list[str], period: str, keep: int = dims.H
     return T.downsample(picked(df, signals), period, ["event_id", "value"], keep, keys=("device", "signal"))
 
 
-def aligned(df: DataFrame, signals: list[str], period: str, tolerance_s: float, rows: int = SLICE_ROWS) -> DataFrame:
-    """Measured power with the setpoint in force, both resampled."""
-    samples = resampled(df, signals, period)
+def aligned(samples: DataFrame, tolerance_s: float, rows: int = SLICE_ROWS, keep_slices: bool = False) -> DataFrame:
+    """Measured power with the setpoint in force, from a resampled recording."""
     command = samples.filter(F.col("signal") == SETPOINT).withColumn("command", F.col("value"))
     feedback = samples.filter(F.col("signal") == POWER).withColumn("feedback", F.col("value"))
-    return T.align(command, feedback, tolerance_s, rows=rows)
+    return T.align(command, feedback, tolerance_s, rows=rows, keep_slices=keep_slices)
 
 
 def compliance(
-    df: DataFrame,
-    signals: list[str],
-    period: str,
-    tolerance_s: float,
-    limit_s: float,
-    low: float,
-    high: float,
-    rows: int = SLICE_ROWS,
+    samples: DataFrame, tolerance_s: float, limit_s: float, low: float, high: float, rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Setpoint steps in the aligned record and whether the power reached each in time."""
-    both = aligned(df, signals, period, tolerance_s, rows).withColumnsRenamed({"command": "sp", "feedback": "out"})
-    return T.response_ok(both, limit_s, low, high, rows=rows)
+    """Setpoint steps in a written recording and whether the power reached each in time.
+
+    The checks read the samples several times, so hand in the recording as written, not the query behind
+    it; the aligned record is written for the same reason.
+    """
+    both = aligned(samples, tolerance_s, rows, keep_slices=True).withColumnsRenamed({"command": "sp", "feedback": "out"})
+    return T.response_ok(written(both, "aligned"), limit_s, low, high, rows=rows)

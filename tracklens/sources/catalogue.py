@@ -27,7 +27,7 @@ def load_books(
             whole = spark.read.text(path, wholetext=True).filter(F.ltrim("value").startswith("["))
             stored = whole.select(F.inline(F.from_json("value", ArrayType(schema))))
         else:
-            with_bad = StructType(schema.fields).add("_corrupt_record", "string")
+            with_bad = StructType([*schema.fields]).add("_corrupt_record", "string")
             parsed = F.from_json("value", with_bad, {"columnNameOfCorruptRecord": "_corrupt_record"})
             lines = spark.read.text(path).filter(F.trim("value") != "").select(parsed.alias("_row")).select("_row.*")
             stored = lines.filter(F.col("_corrupt_record").isNull()).select(*schema.fieldNames())

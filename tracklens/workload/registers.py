@@ -108,7 +108,7 @@ def _(t):
 
 @query(
     "eval_rate",
-    f"""SELECT event_id, round(1000.0::DOUBLE / value, 6) AS per_second, ({_K} * 2) <= value AS meter_ok FROM events""",
+    f"""SELECT event_id, round(1000.0::DOUBLE / nullif(value, 0), 6) AS per_second, ({_K} * 2) <= value AS meter_ok FROM events""",
 )
 def _(t):
     rated = R.eval_rate(t.events.select("event_id", F.col("value").alias("period_ms"), (k() * 2).alias("meter_ms")))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens import dims
+from tracklens.session import ship_package
 
 TZ = "America/Los_Angeles"
 
@@ -23,6 +24,7 @@ class Tables:
         self.folder = folder.rstrip("/")
         self.streaming = streaming
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
 
     @cached_property
     def live(self) -> Tables:
