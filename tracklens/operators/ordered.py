@@ -50,6 +50,8 @@ def _on(left_keys: list[str], right: DataFrame) -> Column:
 def slices(df: DataFrame, keys: list[str], at: str, rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``_slice`` (0 for every key of at most ``rows`` rows) and ``_parts`` (NULL for those keys).
 
+    Slices are equal stretches of the order column, so a burst makes its slice larger than ``rows``; that
+    costs balance, never the result. Rows without a place come first, in slice 0.
     A frame that is sliced already keeps its slices, so steps over the same series share one partitioning.
     """
     if SLICE in df.columns:
@@ -70,7 +72,7 @@ def slices(df: DataFrame, keys: list[str], at: str, rows: int = SLICE_ROWS) -> D
     number = F.least(F.floor(share * F.col(_PARTS)), F.col(_PARTS) - 1)
     return (
         df.join(F.broadcast(large), _on(keys, large), "left")
-        .withColumn(SLICE, F.coalesce(number, F.lit(0)).cast("long"))
+        .withColumn(SLICE, F.when(share.isNull(), 0).otherwise(number).cast("long"))
         .drop("_lo", "_hi", *[f"_r_{k}" for k in keys])
     )
 
