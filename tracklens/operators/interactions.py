@@ -78,11 +78,10 @@ def checklist(events: DataFrame, boxes: DataFrame) -> DataFrame:
 
 def seen(visits: DataFrame, arrival: tuple[str, ...] = ARRIVAL) -> DataFrame:
     """The distinct slides each learner saw (as many as the deck has at most) and where they are."""
-    return visits.groupBy("learner").agg(
-        F.array_sort(F.collect_set("slide")).alias("slides"),
-        F.count_distinct("slide").alias("n_seen"),
-        F.max_by("slide", F.struct(*arrival)).alias("at"),
+    found = visits.groupBy("learner").agg(
+        F.array_sort(F.collect_set("slide")).alias("slides"), F.max_by("slide", F.struct(*arrival)).alias("at")
     )
+    return found.withColumn("n_seen", F.size("slides").cast("long"))
 
 
 def resume_at(hash_slide: Column, saved: Column, slides: Column) -> Column:

@@ -4,12 +4,14 @@ A plain window over ``partitionBy(key)`` sends every row of a key to one task. H
 than ``rows`` rows is cut into consecutive slices along its order column, each slice becomes its own
 window partition, and what the earlier slices contribute is carried in from a summary:
 
-* one narrow aggregate finds the keys that are that large (at most total rows / ``rows`` of them);
-* one aggregate per (large key, slice) summarises the slices (at most twice that many);
+* one narrow aggregate finds the keys that are that large;
+* one aggregate per (large key, slice) summarises the slices;
 * the rows themselves are shuffled once, by (key, slice).
 
-Both helper tables are bounded by that quotient, which is why they may be broadcast. Keys below the
-threshold stay one slice and need no carry, so on unskewed data the plan is a single-shuffle window.
+``rows`` grows with the table where it must, to total rows / ``MAX_LARGE``: fewer than ``MAX_LARGE`` keys can
+then be large, and they have fewer than twice as many slices between them. Both helper tables are
+bounded by those constants whatever the data, which is why they may be broadcast. Keys below the threshold stay
+one slice and need no carry, so on unskewed data the plan is a single-shuffle window.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_ROWS = 1_000_000
+MAX_LARGE = 100_000
 
 SLICE = "_slice"
 _PARTS = "_parts"
@@ -57,13 +60,15 @@ def slices(df: DataFrame, keys: list[str], at: str, rows: int = SLICE_ROWS) -> D
     if SLICE in df.columns:
         return df
     pos = position(df, at)
+    total = df.agg(F.count("*")).scalar()
+    size = F.greatest(F.lit(rows), F.ceil(total / MAX_LARGE))
     large = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-        .filter(F.col("_n") > rows)
+        .filter(F.col("_n") > size)
         .select(
             *[F.col(k).alias(f"_r_{k}") for k in keys],
-            F.ceil(F.col("_n") / F.lit(rows)).alias(_PARTS),
+            F.ceil(F.col("_n") / size).alias(_PARTS),
             "_lo",
             "_hi",
         )

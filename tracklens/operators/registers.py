@@ -117,9 +117,7 @@ def diagnose(df: DataFrame, tree: DataFrame) -> DataFrame:
     """The cause two observations lead to; an answer the tree does not offer leads nowhere (NULL)."""
     first = tree.filter(F.col("node") == "start").select(F.col("answer").alias("first"), F.col("next").alias("_node"))
     second = tree.select(F.col("node").alias("_node"), F.col("answer").alias("second"), "cause")
-    return (
-        df.join(F.broadcast(first), "first", "left").join(F.broadcast(second), ["_node", "second"], "left").drop("_node")
-    )
+    return df.join(first, "first", "left").join(second, ["_node", "second"], "left").drop("_node")
 
 
 def broken_refs(uses: DataFrame, defs: DataFrame, ref: str = "ref") -> DataFrame:

@@ -167,7 +167,7 @@ def _(t):
         F.when(kind == "error", "none").when(kind == "click", "unknown").otherwise("flowing").alias("first"),
         F.element_at(answers, k() % 4 + 1).alias("second"),
     )
-    return R.diagnose(seen, dims.diagnosis_dim(t.spark))
+    return R.diagnose(seen, F.broadcast(dims.diagnosis_dim(t.spark)))
 
 
 @query(
