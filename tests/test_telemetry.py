@@ -1,5 +1,4 @@
 import datetime as dt
-import random
 
 import pytest
 from pyspark.sql import Window as W
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 from tracklens import dims
 from tracklens.operators import telemetry as T
 from tracklens.operators.ordered import running
-from tracklens.operators.ramp import ramp_limit, step, then_step, value_at
+from tracklens.operators.ramp import ramp_limit, step
 from tracklens.plans import recording
 from tracklens.plans.setpoint_chain import setpoint_chain
 from tracklens.workload import telemetry as WT
@@ -117,18 +116,19 @@ def test_recording_is_the_same_in_slices(tables):
     same(recording.compliance(samples, *args), recording.compliance(samples, *args, rows=9))
 
 
-def test_corner_points_equal_the_recursion():
-    rng = random.Random(3)
-    for _ in range(300):
-        steps = [(rng.choice([0, 5, 10, 50, rng.uniform(-20, 60)]), rng.choice([0, 1, 3, rng.uniform(0, 20)])) for _ in range(rng.randint(1, 40))]
-        corners = ([0.0], [0.0])
-        for want, limit in steps:
-            corners = then_step(corners, want, limit)
-        for start in [-100, 0, 3.3, 10, 55, 200]:
-            cmd = start
-            for want, limit in steps:
-                cmd = step(cmd, want, limit)
-            assert value_at(corners, start) == pytest.approx(cmd, abs=1e-9)
+@pytest.mark.parametrize("rate", [1e-6, 0.0005, 0.1])
+@pytest.mark.parametrize("rows", [10, 60])
+def test_ramp_in_slices_equals_one_recursion(skewed, rate, rows):
+    """From a ramp that never forgets its start within a slice to one that always does."""
+    series = skewed.filter("ts IS NOT NULL").select("device", "ts", "event_id", "sp").orderBy("device", "ts", "event_id")
+    expected, state = {}, {}
+    for r in series.collect():
+        cmd, before = state.get(r.device, (0.0, r.ts))
+        cmd = step(cmd, r.sp, rate * (r.ts - before).total_seconds())
+        state[r.device] = cmd, r.ts
+        expected[r.event_id] = cmd
+    got = {r.event_id: r.cmd for r in ramp_limit(series, rate, rows=rows).collect()}
+    assert got == pytest.approx(expected, abs=1e-9)
 
 
 def test_ramp_never_exceeds_its_rate(tables):

@@ -2,27 +2,29 @@
 
 ``cmd += clamp(want - cmd, -rate * dt, +rate * dt)``, starting from 0, is a recursion over one series:
 no window frame says it, so Spark shuffles and sorts the series and Arrow batches stream through it
-with a command and a time in hand; no series is ever held whole. A step is non-decreasing in ``cmd``
-with slope 0 or 1, and so is any chain of steps; such a chain is a short list of corner points.
-For a series too large for one task every slice is first reduced to its corner points in parallel, the
-small lists are followed in order to find the command each slice starts from, and then all
-slices are computed in parallel with the right start. The result is the same as one long recursion.
+with a command and a time in hand; no series is ever held whole.
+
+A series too large for one task is cut into slices. A step never reverses the order of two commands, so
+the lowest and the highest command a slice could start from enclose every other one; once both have met, the
+rest of the slice no longer depends on its start. Slices whose ends are known that way, found in
+parallel, let the next one start by itself. A slice that never forgets its start is run on from the slice before, in the same task: always
+exact, and parallel as soon as a ramp can cross its range within a slice.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tracklens.operators.ordered import _PARTS, SLICE, SLICE_ROWS, slices
 
-Corners = tuple[list[float], list[float]]
+_SEGMENT = "_segment"
 
 
 def step(cmd: float, want: float, limit: float) -> float:
@@ -30,54 +32,6 @@ def step(cmd: float, want: float, limit: float) -> float:
     return cmd + max(-limit, min(limit, want - cmd))
 
 
-def value_at(corners: Corners, x: float) -> float:
-    """A chain's result from a start value; outside the corners it runs parallel to the diagonal."""
-    xs, ys = corners
-    j = bisect_right(xs, x) - 1
-    if j < 0:
-        return ys[0] + (x - xs[0])
-    if j == len(xs) - 1:
-        return ys[j] + (x - xs[j])
-    flat = ys[j + 1] - ys[j] < 0.5 * (xs[j + 1] - xs[j])
-    return ys[j] if flat else ys[j] + (x - xs[j])
-
-
-def _with_level(corners: Corners, level: float) -> None:
-    """Add the corner where the chain reaches ``level``, unless it has one there."""
-    xs, ys = corners
-    j = bisect_left(ys, level)
-    if j < len(ys) and ys[j] == level:
-        return
-    if j == 0:
-        x = xs[0] - (ys[0] - level)
-    elif j == len(ys):
-        x = xs[-1] + (level - ys[-1])
-    else:
-        x = xs[j - 1] + (level - ys[j - 1])
-    xs.insert(j, x)
-    ys.insert(j, level)
-
-
-def then_step(corners: Corners, want: float, limit: float) -> Corners:
-    """The chain followed by one more step."""
-    if limit <= 0:
-        return corners
-    _with_level(corners, want - limit)
-    _with_level(corners, want + limit)
-    xs, ys = corners
-    ys = [step(y, want, limit) for y in ys]
-    keep_x, keep_y = [xs[0]], [ys[0]]
-    for j in range(1, len(xs)):
-        if j + 1 < len(xs):
-            before = ys[j] - ys[j - 1] < 0.5 * (xs[j] - xs[j - 1])
-            after = ys[j + 1] - ys[j] < 0.5 * (xs[j + 1] - xs[j])
-            if before == after:
-                continue
-        keep_x.append(xs[j])
-        keep_y.append(ys[j])
-    return keep_x, keep_y
-
-
 def _in_order(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
     """Each group whole in one partition, its rows together and in order."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -88,6 +42,13 @@ def _columns(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
     return zip(*[batch.column(n).to_pylist() for n in names], strict=True)
 
 
+def _same(left: list[str], right: DataFrame):
+    cond = F.lit(True)
+    for k in left:
+        cond = cond & F.col(k).eqNullSafe(right[f"_r_{k}"])
+    return cond
+
+
 def ramp_limit(
     df: DataFrame,
     rate: float,
@@ -104,103 +65,99 @@ def ramp_limit(
     """
     if rate <= 0:
         return df.withColumn(out, F.col(want).cast("double"))
-    keys, order = list(keys), list(order)
-    groups = [*keys, SLICE]
+    keys, order, given = list(keys), list(order), df.columns
+    slice_keys, segment_keys = [*keys, SLICE], [*keys, _SEGMENT]
     sliced = slices(df, keys, order[0], rows).withColumns(
         {"_us": F.unix_micros(F.col(order[0]).cast("timestamp")), "_want": F.col(want).cast("double")}
     )
-    given = df.columns
 
-    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per slice: its first time and target, its last time, and the corners of the steps after the first."""
-        group, row, corners, done = None, None, None, []
+    def moved(cmd: float, w: float | None, before: int | None, now: int | None) -> float:
+        if w is None or before is None or now is None:
+            return cmd
+        return step(cmd, w, rate * ((now - before) / 1_000_000.0))
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per slice its last time, and the command it ends with where every possible start leads to the same one.
+
+        The first row's elapsed time is not known here; wherever its step leads is still within the bounds.
+        """
+        group, before, low, high, done = None, None, 0.0, 0.0, []
         for batch in batches:
-            for g, us, w in zip(
-                _columns(batch, groups), batch.column("_us").to_pylist(), batch.column("_want").to_pylist(), strict=True
+            for g, (us, w, least, most) in zip(
+                _columns(batch, slice_keys), _columns(batch, ["_us", "_want", "_least", "_most"]), strict=True
             ):
                 if g != group:
                     if group is not None:
-                        done.append((*group, *row, *corners))
-                    group, row, corners = g, [us, w, us], ([0.0], [0.0])
+                        done.append((*group, before, low if low == high else None))
+                    group, low, high = g, least, most
+                elif low == high:
+                    low = high = moved(low, w, before, us)
                 else:
-                    if w is not None:
-                        corners = then_step(corners, w, rate * ((us - row[2]) / 1_000_000.0))
-                    row[2] = us
-            yield _batch(done, chain_arrow)
+                    low, high = moved(low, w, before, us), moved(high, w, before, us)
+                before = us
+            yield _batch(done, ends_arrow)
             done = []
         if group is not None:
-            yield _batch([(*group, *row, *corners)], chain_arrow)
-
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The command and the time each slice starts from, following the slices of a series in order."""
-        key, cmd, before = None, 0.0, None
-        for batch in batches:
-            done = []
-            for row in _columns(batch, [*groups, "_first", "_target", "_last", "_x", "_y"]):
-                g, (first, target, last, x, y) = row[: len(groups)], row[len(groups) :]
-                if g[:-1] != key:
-                    key, cmd, before = g[:-1], 0.0, None
-                done.append((*g, cmd, before))
-                if target is not None and before is not None:
-                    cmd = step(cmd, target, rate * ((first - before) / 1_000_000.0))
-                cmd, before = value_at((x, y), cmd), last
-            yield _batch(done, start_arrow)
+            yield _batch([(*group, before, low if low == high else None)], ends_arrow)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, cmd, before = None, 0.0, None
         for batch in batches:
             cmds = []
-            for g, us, w, start, start_us in zip(
-                _columns(batch, groups),
-                *[batch.column(n).to_pylist() for n in ("_us", "_want", "_start", "_start_us")],
-                strict=True,
+            for g, (us, w, start, start_us) in zip(
+                _columns(batch, segment_keys), _columns(batch, ["_us", "_want", "_start", "_start_us"]), strict=True
             ):
                 if g != group:
-                    group, cmd, before = g, start or 0.0, start_us
-                if w is not None and before is not None:
-                    cmd = step(cmd, w, rate * ((us - before) / 1_000_000.0))
+                    group, cmd, before = g, start, start_us
+                cmd = moved(cmd, w, before, us)
                 before = us
                 cmds.append(cmd)
             kept = [batch.column(n) for n in given]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(cmds, pa.float64())], names=[*given, out])
 
-    group_fields = [sliced.schema[g] for g in groups]
-    points = T.ArrayType(T.DoubleType())
-    chain_schema = T.StructType(
+    large = sliced.filter(F.col(_PARTS) > 1).select(*slice_keys, *[c for c in order if c not in keys], "_us", "_want")
+    bounds = large.groupBy(*keys).agg(
+        F.least(F.coalesce(F.min("_want"), F.lit(0.0)), F.lit(0.0)).alias("_least"),
+        F.greatest(F.coalesce(F.max("_want"), F.lit(0.0)), F.lit(0.0)).alias("_most"),
+    )
+    bounds = bounds.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_least", "_most")
+    bounded = large.join(F.broadcast(bounds), _same(keys, bounds)).drop(*[f"_r_{k}" for k in keys])
+    ends_schema = T.StructType(
         [
-            *group_fields,
-            T.StructField("_first", T.LongType()),
-            T.StructField("_target", T.DoubleType()),
+            *[sliced.schema[k] for k in slice_keys],
             T.StructField("_last", T.LongType()),
-            T.StructField("_x", points),
-            T.StructField("_y", points),
+            T.StructField("_end", T.DoubleType()),
         ]
     )
-    start_schema = T.StructType(
-        [*group_fields, T.StructField("_start", T.DoubleType()), T.StructField("_start_us", T.LongType())]
+    ends_arrow = to_arrow_schema(ends_schema)
+    known = _in_order(bounded, slice_keys, order).mapInArrow(ends, ends_schema)
+
+    in_sequence = W.partitionBy(*keys).orderBy(SLICE)
+    first = F.row_number().over(in_sequence) == 1
+    begins = known.withColumns(
+        {
+            "_begins": first | F.lag("_end").over(in_sequence).isNotNull(),
+            "_start": F.when(first, 0.0).otherwise(F.lag("_end").over(in_sequence)),
+            "_start_us": F.lag("_last").over(in_sequence),
+        }
+    ).withColumn(_SEGMENT, F.count_if("_begins").over(in_sequence))
+    begins = begins.select(
+        *[F.col(k).alias(f"_r_{k}") for k in slice_keys], F.col(_SEGMENT).alias("_number"), "_start", "_start_us"
     )
-    chain_arrow, start_arrow = to_arrow_schema(chain_schema), to_arrow_schema(start_schema)
-
-    large = sliced.filter(F.col(_PARTS) > 1).select(*groups, *[c for c in order if c not in groups], "_us", "_want")
-    per_slice = _in_order(large, groups, order).mapInArrow(chains, chain_schema)
-    in_sequence = _in_order(per_slice, keys, [SLICE]) if keys else per_slice.coalesce(1).sortWithinPartitions(SLICE)
-    begin = in_sequence.mapInArrow(starts, start_schema)
-    begin = begin.select(*[F.col(g).alias(f"_r_{g}") for g in groups], "_start", "_start_us")
-
-    same = F.lit(True)
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(begin[f"_r_{g}"])
-    ready = sliced.join(F.broadcast(begin), same, "left").select(
-        *df.columns, *[c for c in (SLICE,) if c not in df.columns], "_us", "_want", "_start", "_start_us"
+    ready = sliced.join(F.broadcast(begins), _same(slice_keys, begins), "left").select(
+        *given,
+        F.coalesce("_number", F.lit(0)).alias(_SEGMENT),
+        "_us",
+        "_want",
+        F.coalesce("_start", F.lit(0.0)).alias("_start"),
+        "_start_us",
     )
     result = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-    return _in_order(ready, groups, order).mapInArrow(follow, result)
+    return _in_order(ready, segment_keys, order).mapInArrow(follow, result)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(col), f.type) for col, f in zip(zip(*rows, strict=True), schema, strict=True)]
-        if rows
-        else [pa.array([], f.type) for f in schema],
-        schema=schema,
+        [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
