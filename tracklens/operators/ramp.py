@@ -15,7 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,7 +31,10 @@ _SEGMENT = "_segment"
 
 def step(cmd: float, want: float, limit: float) -> float:
     """One step: towards ``want`` by at most ``limit``."""
-    return cmd + max(-limit, min(limit, want - cmd))
+    gap = want - cmd
+    if gap > limit:
+        return cmd + limit
+    return cmd - limit if gap < -limit else cmd + gap
 
 
 def _in_order(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
@@ -38,8 +43,47 @@ def _in_order(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
     return df.repartition(parts, *groups).sortWithinPartitions(*groups, *order)
 
 
-def _columns(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
-    return zip(*[batch.column(n).to_pylist() for n in names], strict=True)
+def _key(batch: pa.RecordBatch, names: list[str], row: int) -> tuple:
+    return tuple(batch.column(n)[row].as_py() for n in names)
+
+
+def _stretches(batch: pa.RecordBatch, names: list[str], last: tuple | None) -> list[tuple[int, int, bool]]:
+    """The rows of each group in a sorted batch as (from, to, new group?); the first may go on from the batch before."""
+    n = batch.num_rows
+    changed = np.zeros(n, dtype=bool)
+    for name in names:
+        here, before = batch.column(name).slice(1), batch.column(name).slice(0, n - 1)
+        one_missing = pc.xor(pc.is_null(here), pc.is_null(before))
+        differs = pc.or_(one_missing, pc.fill_null(pc.not_equal(here, before), False))
+        changed[1:] |= differs.to_numpy(zero_copy_only=False)
+    new = _key(batch, names, 0) != last
+    cuts = [0, *np.flatnonzero(changed).tolist(), n]
+    return [(i, j, new or i > 0) for i, j in zip(cuts, cuts[1:])]  # noqa: B905
+
+
+class _Steps:
+    """The targets and limits of a batch's rows; a row that cannot move (no target, no elapsed time) has limit 0."""
+
+    def __init__(self, batch: pa.RecordBatch, rate: float):
+        us, want = batch.column("_us"), batch.column("_want")
+        self.rate = rate
+        self.timed = pc.is_valid(us).to_numpy(zero_copy_only=False)
+        self.wanted = pc.is_valid(want).to_numpy(zero_copy_only=False)
+        self.us = pc.fill_null(us, 0).to_numpy(zero_copy_only=False)
+        limits = np.zeros(batch.num_rows)
+        limits[1:] = rate * (np.diff(self.us) / 1_000_000.0)
+        moves = self.wanted & self.timed
+        moves[1:] &= self.timed[:-1]
+        self.limits = np.where(moves, limits, 0.0).tolist()
+        self.wants = pc.fill_null(want, 0.0).to_numpy(zero_copy_only=False).tolist()
+
+    def begin(self, row: int, before: int | None) -> None:
+        """Set the first row of a stretch against the time before it, which the batch may not hold."""
+        known = before is not None and self.timed[row] and self.wanted[row]
+        self.limits[row] = self.rate * ((int(self.us[row]) - before) / 1_000_000.0) if known else 0.0
+
+    def time(self, row: int) -> int | None:
+        return int(self.us[row]) if self.timed[row] else None
 
 
 def _same(left: list[str], right: DataFrame):
@@ -71,47 +115,48 @@ def ramp_limit(
         {"_us": F.unix_micros(F.col(order[0]).cast("timestamp")), "_want": F.col(want).cast("double")}
     )
 
-    def moved(cmd: float, w: float | None, before: int | None, now: int | None) -> float:
-        if w is None or before is None or now is None:
-            return cmd
-        return step(cmd, w, rate * ((now - before) / 1_000_000.0))
-
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per slice its last time, and the command it ends with where every possible start leads to the same one.
 
         The first row's elapsed time is not known here; wherever its step leads is still within the bounds.
         """
-        group, before, low, high, done = None, None, 0.0, 0.0, []
+        group, before, low, high = None, None, 0.0, 0.0
         for batch in batches:
-            for g, (us, w, least, most) in zip(
-                _columns(batch, slice_keys), _columns(batch, ["_us", "_want", "_least", "_most"]), strict=True
-            ):
-                if g != group:
-                    if group is not None:
-                        done.append((*group, before, low if low == high else None))
-                    group, low, high = g, least, most
-                elif low == high:
-                    low = high = moved(low, w, before, us)
-                else:
-                    low, high = moved(low, w, before, us), moved(high, w, before, us)
-                before = us
+            if batch.num_rows == 0:
+                continue
+            steps, done = _Steps(batch, rate), []
+            for i, j, new in _stretches(batch, slice_keys, group):
+                if new and group is not None:
+                    done.append((*group, before, low if low == high else None))
+                if new:
+                    group, before = _key(batch, slice_keys, i), None
+                    low, high = batch.column("_least")[i].as_py(), batch.column("_most")[i].as_py()
+                steps.begin(i, before)
+                for w, limit in zip(steps.wants[i:j], steps.limits[i:j], strict=True):
+                    if low == high:
+                        low = high = step(low, w, limit)
+                    else:
+                        low, high = step(low, w, limit), step(high, w, limit)
+                before = steps.time(j - 1)
             yield _batch(done, ends_arrow)
-            done = []
         if group is not None:
             yield _batch([(*group, before, low if low == high else None)], ends_arrow)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, cmd, before = None, 0.0, None
         for batch in batches:
-            cmds = []
-            for g, (us, w, start, start_us) in zip(
-                _columns(batch, segment_keys), _columns(batch, ["_us", "_want", "_start", "_start_us"]), strict=True
-            ):
-                if g != group:
-                    group, cmd, before = g, start, start_us
-                cmd = moved(cmd, w, before, us)
-                before = us
-                cmds.append(cmd)
+            if batch.num_rows == 0:
+                continue
+            steps, cmds = _Steps(batch, rate), []
+            for i, j, new in _stretches(batch, segment_keys, group):
+                if new:
+                    group = _key(batch, segment_keys, i)
+                    cmd, before = batch.column("_start")[i].as_py(), batch.column("_start_us")[i].as_py()
+                steps.begin(i, before)
+                for w, limit in zip(steps.wants[i:j], steps.limits[i:j], strict=True):
+                    cmd = step(cmd, w, limit)
+                    cmds.append(cmd)
+                before = steps.time(j - 1)
             kept = [batch.column(n) for n in given]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(cmds, pa.float64())], names=[*given, out])
 
