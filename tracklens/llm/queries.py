@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import linededup, simhash
+from tracklens.llm import decontaminate, linededup, packing, simhash, toxicity
 from tracklens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,45 @@ def op4(table) -> DataFrame:
 @query("op5_simhash")
 def op5(table) -> DataFrame:
     return simhash.near_duplicates(table("documents"))
+
+
+@query("op3_packing")
+def op3(table) -> DataFrame:
+    return packing.digest(packing.pack(table("documents")))
+
+
+@query(
+    "op8_decontamination",
+    """
+    WITH words AS (
+        SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM benchmark
+    ), doc_words AS (
+        SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents
+    ), item_shingles AS (
+        SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+    ), doc_shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)
+    ), sizes AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id)
+    SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
+           count(*)::DOUBLE / any_value(n_item) AS containment
+    FROM item_shingles JOIN sizes USING (item_id) JOIN doc_shingles USING (s)
+    GROUP BY doc_id, item_id HAVING count(*) * 5 >= any_value(n_item) * 4
+    """,
+)
+def op8(table) -> DataFrame:
+    return decontaminate.contained_items(table("documents"), table("benchmark"))
+
+
+@query("op10_toxicity")
+def op10(table) -> DataFrame:
+    docs = table("documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table("labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col("worst").alias("worst_sentence"),
+    )
