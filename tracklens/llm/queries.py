@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import decontaminate, linededup, packing, simhash, toxicity
+from tracklens.llm import chat, decontaminate, linededup, packing, simhash, toxicity, wrappers
 from tracklens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,35 @@ def op10(table) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         F.col("worst").alias("worst_sentence"),
     )
+
+
+@query(
+    "op2_chat_format",
+    """
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), marked AS (
+        SELECT *, coalesce(role <> lag(role) OVER w, TRUE) AS opens,
+               length(text) + length(text) - length(translate(text, '~[<]', '')) AS size,
+               length(role) + length(role) - length(translate(role, '~[<]', '')) AS role_size
+        FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+               AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+               FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(size + CASE WHEN opens THEN 9 + role_size ELSE 3 END)::BIGINT AS formatted_chars
+    FROM marked GROUP BY conv_id
+    """,
+)
+def op2(table) -> DataFrame:
+    return chat.digests(chat.format_chats(chat.with_probe(table("conversations"))))
+
+
+@query("op9_html_extraction")
+def op9(table) -> DataFrame:
+    return wrappers.extract(table("pages"))
