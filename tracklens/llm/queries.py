@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import chat, decontaminate, linededup, packing, simhash, suffixes, toxicity, wrappers
+from tracklens.llm import chat, decontaminate, linededup, neighbours, packing, simhash, suffixes, toxicity, wrappers
 from tracklens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,8 @@ def op9(table) -> DataFrame:
 def op6(table) -> DataFrame:
     cut = suffixes.remove_repeats(table("documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_nearest")
+def op1(table) -> DataFrame:
+    return neighbours.nearest(table("embeddings"), F.col("vec_id") % 50 == 0)
