@@ -8,11 +8,12 @@ one position in fourteen remains. Then ranks are paired at growing offsets, and
 1. positions rank by their 25-byte string; those whose rank one document alone has are done;
 2. positions rank by the pair of ranks at the ends of the stretch of windows that chose them (50 to 75 bytes). A
    stretch that a smaller document also has is repeated as a whole and past the threshold;
-3. stretches that only share their 25 bytes go to single windows, ranked by the pair of 25-byte ranks at offset 25.
+3. stretches that only share their 25 bytes and 13 more on one side (a byte of hash tells) go to single windows of
+   that side, ranked by the pair of 25-byte ranks at offset 25.
 
 Ranks are 64-bit hashes and a decision always rests on a pair of them. Chosen positions travel as packed arrays per bucket of
-ranks; within a batch only the smallest document of a stretch is sent on, the others are known to be repeats at
-once. The texts are shuffled once, and that shuffle is read by rounds 3 and the removal.
+ranks, field by field; within a batch only the smallest document of a stretch is sent on, the others are known to be
+repeats at once. The texts are shuffled once, and that shuffle is read by round 3 and the removal.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,15 @@ HALF = LENGTH // 2
 PIECE = 1 << 19
 BATCH_BYTES = 16 << 20
 
-RECORD = np.dtype([("rank", "<u8"), ("stretch", "<u8"), ("did", "<i8"), ("start", "<u4"), ("count", "u1")])
+#: ``side``: how many bytes the stretch's position is behind its start, and a byte of hash of the 13 bytes left and right.
+FIELDS = [
+    ("rank", "<u8"), ("stretch", "<u8"), ("did", "<i8"), ("start", "<u4"), ("count", "u1"), ("side", "u1"),
+    ("left", "u1"), ("right", "u1"),
+]
+RECORD = np.dtype(FIELDS)
 SPAN = np.dtype([("start", "<u4"), ("count", "u1")])
+SIDE = 13
+SPANS, LOOK = 1, 2
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -96,9 +105,49 @@ def stretches(pieces: list[tuple[int, int, bytes]]) -> np.ndarray:
     offset = np.array([o for _, o, _ in pieces], dtype=np.int64)[owner[first]]
     out["start"] = first - begins[owner[first]] + offset
     out["count"] = last - first + 1
+    out["side"] = anchor - first
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    last_lane = len(lanes) - 1
+    # windows that begin 13 bytes or more before the position hold the 13 bytes left of it, the others those right of it
+    at = np.maximum(anchor - SIDE, 0)
+    out["left"] = _mixed((_mixed(lanes[at] * _M1) ^ lanes[np.minimum(at + SIDE - 8, last_lane)]) * _M3)
+    at = np.minimum(anchor + HALF, last_lane)
+    out["right"] = _mixed((_mixed(lanes[at] * _M1) ^ lanes[np.minimum(at + SIDE - 8, last_lane)]) * _M3)
+    return out
+
+
+def _packed(records: np.ndarray) -> bytes:
+    """Field after field, in the order of the documents: ids and places compress in a shuffle, hashes do not."""
+    records = records[np.lexsort((records["start"], records["did"]))]
+    return b"".join(records[name].tobytes() for name, _ in FIELDS)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.empty(len(data) // RECORD.itemsize, RECORD)
+    at = 0
+    for name, kind in FIELDS:
+        out[name] = np.frombuffer(data, kind, len(out), at)
+        at += len(out) * np.dtype(kind).itemsize
     return out
 
 
+def _dealt(records: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A batch's records by bucket of ranks; those a smaller document of the batch repeats go as spans by document."""
+    records, _, repeat = _smallest(records)
+    yield _spans_by_document(records[repeat], SPANS, buckets)
+    records = records[~repeat]
+    bucket = (records["rank"] >> np.uint64(40)).astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    records, bucket = records[order], bucket[order]
+    found, at = np.unique(bucket, return_index=True)
+    parts = [_packed(p) for p in np.split(records, at[1:])] if len(found) else []
+    none = np.zeros(len(found))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.int64()), pa.array(parts, pa.binary())],
+        names=["bucket", "kind", "did", "data"],
+    )
+
+
 def _smallest(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Records sorted by rank, stretch and document; where a stretch begins; whether a smaller document has it."""
     records = records[np.lexsort((records["did"], records["stretch"], records["rank"]))]
@@ -108,15 +157,20 @@ def _smallest(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return records, new, records["did"] > least
 
 
-def _spans_by_document(records: np.ndarray, round_: int) -> pa.RecordBatch:
+def _spans_by_document(records: np.ndarray, kind: int, buckets: int = 1) -> pa.RecordBatch:
     records = records[np.argsort(records["did"], kind="stable")]
     dids, at = np.unique(records["did"], return_index=True)
     spans = np.empty(len(records), SPAN)
     spans["start"], spans["count"] = records["start"], records["count"]
     parts = [s.tobytes() for s in np.split(spans, at[1:])] if len(dids) else []
-    bucket = pa.array(np.full(len(dids), round_), pa.int32())
     return pa.RecordBatch.from_arrays(
-        [bucket, pa.array(dids, pa.int64()), pa.array(parts, pa.binary())], names=["bucket", "did", "data"]
+        [
+            pa.array(dids % buckets, pa.int32()),
+            pa.array(np.full(len(dids), kind), pa.int32()),
+            pa.array(dids, pa.int64()),
+            pa.array(parts, pa.binary()),
+        ],
+        names=["bucket", "kind", "did", "data"],
     )
 
 
@@ -129,22 +183,11 @@ def _bytes(text) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def chosen_positions(docs: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, did, data``: packed records by bucket of ranks, and (bucket -1) spans already known to repeat."""
+PARTS = "bucket int, kind int, did long, data binary"
 
-    def flushed(gathered: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        records, _, repeat = _smallest(np.concatenate(gathered))
-        yield _spans_by_document(records[repeat], -1)
-        records = records[~repeat]
-        bucket = (records["rank"] >> np.uint64(40)).astype(np.int64) % buckets
-        order = np.argsort(bucket, kind="stable")
-        records, bucket = records[order], bucket[order]
-        found, at = np.unique(bucket, return_index=True)
-        parts = [p.tobytes() for p in np.split(records, at[1:])] if len(found) else []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.int32()), pa.array(np.zeros(len(found)), pa.int64()), pa.array(parts, pa.binary())],
-            names=["bucket", "did", "data"],
-        )
+
+def chosen_positions(docs: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, kind, did, data``: packed records by bucket, and spans (kind 1) already known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: list[np.ndarray] = []
@@ -162,39 +205,68 @@ def chosen_positions(docs: DataFrame, buckets: int) -> DataFrame:
                 if total > BATCH_BYTES:
                     gathered.append(stretches(some))
                     some, size, total = [], 0, 0
-                    yield from flushed(gathered)
+                    yield from _dealt(np.concatenate(gathered), buckets)
                     gathered = []
         gathered.append(stretches(some))
-        yield from flushed(gathered)
-
-    return docs.mapInArrow(run, "bucket int, did long, data binary")
+        yield from _dealt(np.concatenate(gathered), buckets)
+
+    return docs.mapInArrow(run, PARTS)
+
+
+def _shared(keys: tuple[np.ndarray, ...], dids: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Whether, among the rows ``where`` holds, two documents have the key of a row."""
+    out = np.zeros(len(dids), dtype=bool)
+    rows = np.flatnonzero(where)
+    if not len(rows):
+        return out
+    rows = rows[np.lexsort(tuple(k[rows] for k in keys))]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = np.any([k[rows][1:] != k[rows][:-1] for k in keys], axis=0)
+    at = np.flatnonzero(new)
+    mixed = np.minimum.reduceat(dids[rows], at) != np.maximum.reduceat(dids[rows], at)
+    out[rows] = mixed[np.cumsum(new) - 1]
+    return out
 
 
 def shared_stretches(positions: DataFrame) -> DataFrame:
-    """``bucket, did, data``: spans that repeat as a whole (bucket -1) and spans whose windows must be looked at (-2)."""
+    """``bucket, kind, did, data``: spans that repeat as a whole (1) and spans whose windows must be looked at (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = [np.frombuffer(v.as_py(), RECORD) for batch in batches for v in batch.column(2)]
+        gathered = []
+        for batch in batches:
+            known = batch.filter(pa.compute.equal(batch.column(1), SPANS))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "did", "data"])
+            gathered += [
+                _unpacked(v.as_py())
+                for kind, v in zip(batch.column(1).to_pylist(), batch.column(3), strict=True)
+                if kind != SPANS
+            ]
         if not gathered:
             return
-        records, new, repeat = _smallest(np.concatenate(gathered))
-        yield _spans_by_document(records[repeat], -1)
-        ranks = np.ones(len(records), dtype=bool)
-        ranks[1:] = records["rank"][1:] != records["rank"][:-1]
-        at, of = np.flatnonzero(ranks), np.cumsum(ranks) - 1
-        if not len(at):
-            return
-        several = np.add.reduceat(new.astype(np.int64), at) > 1
-        mixed = np.minimum.reduceat(records["did"], at) != np.maximum.reduceat(records["did"], at)
-        yield _spans_by_document(records[(several & mixed)[of] & ~repeat], -2)
+        records, _, repeat = _smallest(np.concatenate(gathered))
+        yield _spans_by_document(records[repeat], SPANS)
+        records = records[~repeat]
+        last = records["side"].astype(np.int64) - records["count"] + 1  # of the last window's start
+        left = _shared((records["left"], records["rank"]), records["did"], records["side"] >= SIDE)
+        right = _shared((records["right"], records["rank"]), records["did"], last < SIDE)
+        side, count = records["side"].astype(np.int64), records["count"].astype(np.int64)
+        skipped = np.where(left, 0, np.maximum(side - SIDE + 1, 0))
+        taken = np.where(right, count, np.minimum(count, side - SIDE + 1)) - skipped
+        look = (left | right) & (taken > 0)
+        records = records[look]
+        records["start"] += skipped[look].astype(np.uint32)
+        records["count"] = taken[look]
+        yield _spans_by_document(records, LOOK)
 
-    return positions.repartition("bucket").mapInArrow(run, "bucket int, did long, data binary")
+    return positions.repartition("bucket").mapInArrow(run, PARTS)
 
 
-def single_windows(joined: DataFrame) -> DataFrame:
-    """``a, b, did, start`` of every window of the spans to look at."""
+def single_windows(joined: DataFrame, buckets: int) -> DataFrame:
+    """Every window of the spans to look at, as packed records by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, size = [], 0
         for batch in batches:
             for did, text, parts in zip(*batch.columns, strict=True):
                 spans = np.concatenate([np.frombuffer(p, SPAN) for p in parts.as_py()])
@@ -203,28 +275,46 @@ def single_windows(joined: DataFrame) -> DataFrame:
                 steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 at = np.unique(np.repeat(spans["start"].astype(np.int64), counts) + steps)
                 at = at[at + HALF < len(ranks)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ranks[at].view(np.int64)),
-                        pa.array(ranks[at + HALF].view(np.int64)),
-                        pa.array(np.full(len(at), did.as_py()), pa.int64()),
-                        pa.array(at, pa.int64()),
-                    ],
-                    names=["a", "b", "did", "start"],
-                )
+                made = np.zeros(len(at), RECORD)
+                made["rank"], made["stretch"] = ranks[at], ranks[at + HALF]
+                made["did"], made["start"], made["count"] = did.as_py(), at, 1
+                gathered.append(made)
+                size += len(made)
+                if size > 500_000:
+                    yield from _dealt(np.concatenate(gathered), buckets)
+                    gathered, size = [], 0
+        if gathered:
+            yield from _dealt(np.concatenate(gathered), buckets)
+
+    return joined.mapInArrow(run, PARTS)
 
-    return joined.mapInArrow(run, "a long, b long, did long, start long")
 
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """The windows that a smaller document has, as spans by document."""
 
-def _covered(size: int, spans: list[np.ndarray], single: list[int]) -> np.ndarray:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered = []
+        for batch in batches:
+            known = batch.filter(pa.compute.equal(batch.column(1), SPANS))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "did", "data"])
+            gathered += [
+                _unpacked(v.as_py())
+                for kind, v in zip(batch.column(1).to_pylist(), batch.column(3), strict=True)
+                if kind != SPANS
+            ]
+        if gathered:
+            records, _, repeat = _smallest(np.concatenate(gathered))
+            yield _spans_by_document(records[repeat], SPANS)
+
+    return windows.repartition("bucket").mapInArrow(run, PARTS)
+
+
+def _covered(size: int, spans: list[np.ndarray]) -> np.ndarray:
     change = np.zeros(size + 1, dtype=np.int64)
     for s in spans:
         np.add.at(change, np.minimum(s["start"].astype(np.int64), size), 1)
         np.add.at(change, np.minimum(s["start"].astype(np.int64) + s["count"] - 1 + LENGTH, size), -1)
-    if single:
-        at = np.minimum(np.array(single, dtype=np.int64), size)
-        np.add.at(change, at, 1)
-        np.add.at(change, np.minimum(at + LENGTH, size), -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -239,25 +329,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
-    positions = written(chosen_positions(texts, buckets), "positions")
-    spans = written(shared_stretches(positions.where("bucket >= 0")), "stretches")
+    spans = written(shared_stretches(chosen_positions(texts, buckets)), "stretches").select("kind", "did", "data")
     spread = texts.repartition("did")
-    look = spans.where("bucket = -2").groupBy("did").agg(F.collect_list("data").alias("look"))
-    windows = written(single_windows(spread.join(look, "did").select("did", "text", "look")), "windows")
-    least = windows.groupBy("a", "b").agg(F.min("did").alias("least"))
-    again = windows.join(least, ["a", "b"]).where("did > least").groupBy("did")
-    single = again.agg(F.collect_list("start").alias("single"))
-    whole = positions.where("bucket = -1").unionByName(spans.where("bucket = -1"))
+    look = spans.where(F.col("kind") == LOOK).groupBy("did").agg(F.collect_list("data").alias("look"))
+    windows = single_windows(spread.join(look, "did").select("did", "text", "look"), buckets)
+    whole = spans.where(F.col("kind") == SPANS).select("did", "data")
+    whole = whole.unionByName(repeated_windows(windows).select("did", "data"))
     whole = whole.groupBy("did").agg(F.collect_list("data").alias("whole"))
-    joined = spread.join(whole.join(single, "did", "full"), "did", "left").select("did", "text", "whole", "single")
+    joined = spread.join(whole, "did", "left").select("did", "text", "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for did, text, parts, singles in zip(*batch.columns, strict=True):
+            for did, text, parts in zip(*batch.columns, strict=True):
                 data = _bytes(text)
-                found = [np.frombuffer(p, SPAN) for p in parts.as_py() or []]
-                gone = _covered(len(data), found, singles.as_py() or [])
+                gone = _covered(len(data), [np.frombuffer(p, SPAN) for p in parts.as_py() or []])
                 runs = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 rows.append((did.as_py(), len(data), int(gone.sum()), runs, kept))
