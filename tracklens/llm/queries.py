@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import chat, decontaminate, linededup, neighbours, packing, simhash, suffixes, toxicity, wrappers
+from tracklens.llm import (
+    chat,
+    decontaminate,
+    licences,
+    linededup,
+    neighbours,
+    packing,
+    simhash,
+    suffixes,
+    toxicity,
+    wrappers,
+)
 from tracklens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +158,8 @@ def op6(table) -> DataFrame:
 @query("op1_nearest")
 def op1(table) -> DataFrame:
     return neighbours.nearest(table("embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op7_licences")
+def op7(table) -> DataFrame:
+    return licences.scan(table("documents"))
