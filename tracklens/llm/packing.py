@@ -15,8 +15,8 @@ shard holds about ``SHARD_TOKENS`` ids and is one task's work.
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +34,8 @@ QUERY_TERMS = 12
 NEIGHBOURS = 24
 K1, B = 1.2, 0.75
 VOCABULARY = 65_536
-CACHED = 300_000
+CACHED_WORDS = 500_000
+CACHED_CHUNKS = 150_000
 
 
 def tokenizer_path() -> str:
@@ -43,11 +44,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
+class Encoder(dict):
     """Texts to ids of the word-level BPE, one white-space chunk at a time, remembering a bounded number of them.
 
     No token of this vocabulary crosses white space, so chunks can be encoded alone. Chunks of Latin letters go straight to
-    the merges; any other goes through the whole tokenizer.
+    the merges, word by word; any other goes through the whole tokenizer. The dictionary holds chunks.
     """
 
     def __init__(self, path: str):
@@ -55,7 +56,6 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(visible)]
@@ -63,32 +63,39 @@ class Encoder:
         self.alphabet = {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
         self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\w\s])+")
         self.simple = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įĲ-ž]+")
+        self.blanks = re.compile(r"[ \t\n\r\x0b\x0c]+")
+        # white space of str.split that is left to the tokenizer
+        self.unusual = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            mapped = "".join(self.alphabet[b] for b in word.encode())
-            found = np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u2").tobytes()
-            if len(self.words) < CACHED:
+            mapped = word if word.isascii() else "".join(self.alphabet[b] for b in word.encode())
+            found = array("H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            if len(self.words) < CACHED_WORDS:
                 self.words[word] = found
         return found
 
-    def _chunk(self, chunk: str) -> bytes:
-        if self.simple.fullmatch(chunk) and "<|" not in chunk:
-            lower = unicodedata.normalize("NFC", chunk).lower()
-            found = b"".join(map(self._word, self.split.findall(lower)))
+    def __missing__(self, chunk: str) -> bytes:
+        if (chunk.isascii() or self.simple.fullmatch(chunk)) and "<|" not in chunk and chunk.isprintable():
+            lower = chunk.lower()
+            if lower.isalpha():
+                found = self._word(lower)
+            elif (head := lower[:-1]).isalpha():
+                found = self._word(head) + self._word(lower[-1])
+            else:
+                found = b"".join(map(self._word, self.split.findall(lower)))
         else:
-            ids = self.whole.encode(chunk, add_special_tokens=False).ids
-            found = np.array(ids, dtype="<u2").tobytes()
-        if len(self.chunks) < CACHED:
-            self.chunks[chunk] = found
+            found = array("H", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(self) < CACHED_CHUNKS:
+            self[chunk] = found
         return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 16-bit values, with the end id."""
-        known, make = self.chunks.get, self._chunk
-        out = [known(c) or make(c) for c in re.split(r"[ \t\n\r\x0b\x0c]+", text or "") if c]
-        return b"".join(out) + END.to_bytes(2, "little")
+        text = text or ""
+        chunks = filter(None, self.blanks.split(text)) if self.unusual.search(text) else text.split()
+        return b"".join(map(self.__getitem__, chunks)) + END.to_bytes(2, "little")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -114,6 +121,14 @@ def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return picked.mapInArrow(run, "did long, ids binary, n long")
 
 
+def _distinct(ids: np.ndarray) -> np.ndarray:
+    """The distinct ids in order; 16-bit values sort by radix."""
+    ordered = np.sort(ids, kind="stable")
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
 def document_frequencies(ids: DataFrame) -> DataFrame:
     """``token, df``: in how many documents each token is; combined within a task before the shuffle."""
 
@@ -121,7 +136,7 @@ def document_frequencies(ids: DataFrame) -> DataFrame:
         counts = np.zeros(VOCABULARY, dtype=np.int64)
         for batch in batches:
             for row in batch.column(0):
-                counts[np.unique(np.frombuffer(row.as_py(), "<u2"))] += 1
+                counts[_distinct(np.frombuffer(row.as_py(), "<u2"))] += 1
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["token", "df"])
 
@@ -130,10 +145,12 @@ def document_frequencies(ids: DataFrame) -> DataFrame:
 
 
 def _rarest(ids: np.ndarray, rarity: np.ndarray, count: int) -> np.ndarray:
-    found = np.unique(ids)
+    found = _distinct(ids)
     if len(found) <= count:
         return found
-    return found[np.lexsort((found, -rarity[found]))[:count]]
+    least = np.partition(rarity[found], -count)[-count]
+    found = found[rarity[found] >= least]  # with ties, the smaller ids first
+    return found[np.argsort(-rarity[found], kind="stable")[:count]]
 
 
 class _Index:
