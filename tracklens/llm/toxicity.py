@@ -5,17 +5,18 @@ A document is a bag of sentences. A sentence scores ``sigmoid(bias + sum of its
 documents have labels; the weights are fitted to them by gradient descent through the noisy-or, and the sentences that
 make a document toxic come out as a by-product.
 
-Words are hashed to ``2**BITS`` weights. Training takes at most ``SAMPLE`` labelled documents of each label, those
-with the smallest hash of their id, at most ``SAMPLE_WORDS`` words of each; scoring covers every word of every
-document in Arrow batches without a shuffle.
+A word has a weight for itself and one for each of its first ``PREFIXES`` letters, so that inflected forms share what their
+stem is worth; all are hashed to ``2**BITS`` weights. Training takes at most ``SAMPLE`` labelled documents of each
+label, those with the smallest hash of their id, and of these the ones of at most ``SAMPLE_WORDS`` words, whole; scoring
+covers every word of every document in Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,16 @@ from pyspark.sql import functions as F
 from tracklens.llm.columns import NO_ID, ident, outward
 from tracklens.session import written
 
-BITS = 16
-SAMPLE = 4000
-SAMPLE_WORDS = 3000
-ROUNDS = 300
-RATE = 0.05
-DECAY = 2e-5
+BITS = 18
+PREFIXES = (4, 5, 6)
+WIDTH = 1 + len(PREFIXES)
+SAMPLE = 3000
+SAMPLE_WORDS = 2000
+ROUNDS = 150
+RATE = 4.0
+BIAS_RATE = 0.4
+MOMENTUM = 0.9
+DECAY = 0.2
 THRESHOLD = 0.3
 CACHED_WORDS = 200_000
 
@@ -40,10 +45,12 @@ _word = re.compile(r"[^\W\d_]+")
 
 
 class _Slots(dict):
-    """Word to weight slot; remembers a bounded number of words."""
+    """Word to its weight slots as packed 32-bit values; remembers a bounded number of words."""
 
-    def __missing__(self, word: str) -> int:
-        made = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 3) & ((1 << BITS) - 1)
+    def __missing__(self, word: str) -> bytes:
+        parts = [word, *[f"{n}:{word[:n]}" for n in PREFIXES]]
+        slots = [xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass"), 3) & ((1 << BITS) - 1) for p in parts]
+        made = array("i", slots).tobytes()
         if len(self) < CACHED_WORDS:
             self[word] = made
         return made
@@ -59,14 +66,14 @@ def sentences(text: str | None) -> list[str]:
 
 def slots(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Weight slots of the words in order, and where each sentence with a word starts in them."""
-    flat: list[int] = []
+    packed: list[bytes] = []
     starts: list[int] = []
     for sentence in sentences(text):
-        words = _word.findall(sentence.lower())
+        words = dict.fromkeys(_word.findall(sentence.lower()))  # a word repeated in its sentence says no more
         if words:
-            starts.append(len(flat))
-            flat.extend(map(_slot_of.__getitem__, words))
-    return np.array(flat, dtype=np.int32), np.array(starts, dtype=np.int64)
+            starts.append(len(packed) * WIDTH)
+            packed.extend(map(_slot_of.__getitem__, words))
+    return np.frombuffer(b"".join(packed), dtype=np.int32), np.array(starts, dtype=np.int64)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -93,8 +100,13 @@ class Model:
         return float(-np.expm1(np.log1p(-np.minimum(each, 1 - 1e-12)).sum())), int(each.argmax())
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Gradient descent (Adam) of the cross-entropy of the noisy-or; both labels weigh the same in sum."""
+def fit(
+    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS, share: float = 0.5
+) -> Model:
+    """Gradient descent with momentum of the cross-entropy of the noisy-or; toxic documents weigh ``share`` in sum.
+
+    Steps follow the gradient's size, so a word that many toxic documents share moves first and words of one document hardly.
+    """
     bags_at = [i for i, (_, starts) in enumerate(bags) if len(starts)]
     size = 1 << BITS
     weights, bias = np.zeros(size), -4.0
@@ -108,21 +120,20 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: i
     lengths = np.diff(np.append(starts, len(flat)))
     of_doc = np.repeat(np.arange(len(y)), counts)
     first = np.cumsum(np.append(0, counts[:-1]))
-    importance = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
-    for step in range(1, rounds + 1):
+    importance = np.where(y == 1, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum()))
+    speed, bias_speed, decay = np.zeros(size), 0.0, DECAY / len(y)  # the fewer documents, the less a word may grow
+    for _ in range(rounds):
         p = _sigmoid(bias + np.add.reduceat(weights[flat], starts))
         clean = np.log1p(-np.minimum(p, 1 - 1e-9))
         none = np.exp(np.add.reduceat(clean, first))  # probability that no sentence is toxic
         doc = np.clip(1 - none, 1e-6, 1 - 1e-6)
         # d loss / d logit of a sentence: p for a clean document, -p * none / doc for a toxic one
         grad = p * np.where(y == 1, -none / doc, 1.0)[of_doc] * importance[of_doc]
-        by_word = np.bincount(flat, weights=np.repeat(grad, lengths), minlength=size) + DECAY * weights
-        m, v = 0.9 * m + 0.1 * by_word, 0.999 * v + 0.001 * by_word**2
-        mb, vb = 0.9 * mb + 0.1 * grad.sum(), 0.999 * vb + 0.001 * grad.sum() ** 2
-        a, b = 1 - 0.9**step, 1 - 0.999**step
-        weights -= RATE * (m / a) / (np.sqrt(v / b) + 1e-8)
-        bias -= RATE * (mb / a) / (np.sqrt(vb / b) + 1e-8)
+        by_word = np.bincount(flat, weights=np.repeat(grad, lengths), minlength=size) + decay * weights
+        speed = MOMENTUM * speed - RATE * by_word
+        bias_speed = MOMENTUM * bias_speed - BIAS_RATE * grad.sum()
+        weights += speed
+        bias += bias_speed
     return Model(weights, bias)
 
 
@@ -157,8 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             rows = []
             for did, text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 flat, starts = slots(text)
-                flat = flat[:SAMPLE_WORDS]
-                starts = starts[starts < len(flat)].astype(np.int32)
+                if len(flat) > SAMPLE_WORDS * WIDTH:
+                    continue
+                starts = starts.astype(np.int32)
                 rows.append((did, label, zlib.crc32(flat.tobytes()), flat.tobytes(), starts.tobytes()))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -174,7 +186,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             once[row.did] = (row.mark, bytes(row.flat), bytes(row.starts), row.toxic)
     rows = [once[k] for k in sorted(once)]
     bags = [(np.frombuffer(f, np.int32), np.frombuffer(s, np.int32).astype(np.int64)) for _, f, s, _ in rows]
-    return fit(bags, np.array([t for *_, t in rows], dtype=np.int64))
+    count = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    share = count.get(1, 0) / max(1, sum(count.values()))  # as frequent as among all labels, whatever was sampled
+    return fit(bags, np.array([t for *_, t in rows], dtype=np.int64), share=share)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
