@@ -165,3 +165,16 @@ def test_report_cards_and_totals(seed):
     assert cards[0].price_text == "$12.00" and cards[0].status_label == "Want"
     (t,) = shelf_report.totals(seed, format="physical", max_price=20).collect()
     assert (t.shown, t.titles, t.nothing_shown, t.physical) == (3, 5, False, 4)
+
+
+def test_ranks_cover_every_row_without_one_window(spark, tables):
+    found = C.ranked_shelf(tables.books, "price")
+    assert sorted(r["rank"] for r in found.collect()) == list(range(1, tables.books.count() + 1))
+
+
+def test_blank_titles_of_any_white_space_are_rejected(spark):
+    from tracklens import dims
+
+    rows = dims.seed_books(spark).limit(1)
+    kept, rejected = C.clean(rows.withColumn("title", F.lit("\t ")))
+    assert kept.count() == 0 and rejected.count() == 1

@@ -234,3 +234,11 @@ def test_channel_lines(spark):
     assert line == "channel 01   : " + "POI.PRG.main.P_MW".ljust(32) + " [MW]   P at POI"
     with pytest.raises(ValueError):
         recording.picked(picks, ["nothing"])
+
+
+def test_downsample_keeps_all_unless_told(spark):
+    df = spark.range(1000).selectExpr(
+        "0 AS device", "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS ts", "id * 1.0D AS v"
+    )
+    assert T.downsample(df, "1 hour", ["v"]).count() == 1000
+    assert T.downsample(df, "1 hour", ["v"], keep=480).count() == 480

@@ -10,6 +10,12 @@ from tracklens import dims
 MISSING = "—"
 
 
+def stripped(text: Column) -> Column:
+    """The text without white space of any kind around it."""
+    blank = r"[\s\p{Z}\x{FEFF}]+"
+    return F.regexp_replace(text, f"^{blank}|{blank}$", "")
+
+
 def money(price: Column) -> Column:
     """``$12.00``, or a dash when the price is missing; a price of 0 is shown."""
     return F.when(price.isNull(), MISSING).otherwise(F.concat(F.lit("$"), price.cast("decimal(18,2)").cast("string")))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tracklens import dims
 from tracklens.functions import text
+from tracklens.functions.text import stripped
+from tracklens.session import written
 
 BOOK_COLUMNS = ["id", "title", "author", "format", "retailer", "price", "rating", "status", "note", "added"]
 
@@ -146,6 +148,27 @@ def top_shelf(df: DataFrame, key: str, n: int) -> DataFrame:
     return order_shelf(df, key).limit(n).withColumn("rank", F.row_number().over(W.orderBy(*sort_keys(key))))
 
 
+def ranked_shelf(df: DataFrame, key: str) -> DataFrame:
+    """Every row with its rank in an ordering.
+
+    The rows are dealt to ranges of the sort keys and sorted there; a row's rank is its place in its range plus the
+    sizes of the ranges before, so no window sees more than one row per range. The ranges are written to the shared
+    folder, as the places must not change between the two passes.
+    """
+    from pyspark.sql import Window as W
+
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *sort_keys(key)).sortWithinPartitions(*sort_keys(key))
+    # the id holds the partition above bit 33 and the place within it below
+    placed = written(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_range", before.alias("_before"))
+    rank = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(offsets), "_range").withColumn("rank", rank).drop("_range", "_place", "_before")
+
+
 def shelf(df: DataFrame, *, sort: str = "added", **chosen) -> DataFrame:
     """Every filter ANDed, then one ordering."""
     return order_shelf(df.filter(filters(**chosen)), sort)
@@ -183,16 +206,16 @@ def clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Blank prices and ratings stay missing; form bounds are hints and are not enforced.
     """
-    number = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    number = lambda c: F.when(stripped(c) != "", stripped(c))
     tidy = df.withColumns(
         {
-            "title": F.trim("title"),
-            "author": F.trim("author"),
+            "title": stripped(F.col("title")),
+            "author": stripped(F.col("author")),
             "price": number(F.col("price")).try_cast("decimal(10,2)"),
             "rating": number(F.col("rating")).try_cast("double"),
         }
     )
-    blank = F.coalesce(F.trim("title"), F.lit("")) == ""
+    blank = F.coalesce(stripped(F.col("title")), F.lit("")) == ""
     return tidy.filter(~blank), df.filter(blank)
 
 

@@ -82,7 +82,7 @@ def roadmap_wide(df: DataFrame, lanes: list[str], keys: list[str]) -> DataFrame:
 def edition_of(title: Column) -> Column:
     """The number in a trailing ``3e``; a title without one is a first edition."""
     found = F.regexp_extract(title, r"\s(\d+)e\s*$", 1)
-    return F.when(found == "", 1).otherwise(found.cast("int"))
+    return F.when(found == "", 1).otherwise(found.try_cast("int"))
 
 
 def work_of(title: Column) -> Column:

@@ -202,19 +202,18 @@ def downsample(
     df: DataFrame,
     period: str,
     values: list[str],
-    keep: int = dims.HISTORY_ROWS,
+    keep: int | None = None,
     keys: tuple[str, ...] = ("device",),
 ) -> DataFrame:
-    """The last sample of each clock period, and of those the newest ``keep`` per series (the history cap)."""
+    """The last sample of each clock period: all of them, or the newest ``keep`` per series (the history cap)."""
     keys = list(keys)
     newest = W.partitionBy(*keys).orderBy(F.desc("period_start"))
-    return (
-        df.groupBy(*keys, bucket(F.col("ts"), period).alias("period_start"))
-        .agg(F.max_by(F.struct("ts", *values), F.struct(*ORDER)).alias("_last"))
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= keep)
-        .select(*keys, "period_start", "_last.*")
+    found = df.groupBy(*keys, bucket(F.col("ts"), period).alias("period_start")).agg(
+        F.max_by(F.struct("ts", *values), F.struct(*ORDER)).alias("_last")
     )
+    if keep is not None:
+        found = found.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= keep)
+    return found.select(*keys, "period_start", "_last.*")
 
 
 def missed(df: DataFrame, period_s: float, keys: tuple[str, ...] = ("device",), rows: int = SLICE_ROWS) -> DataFrame:

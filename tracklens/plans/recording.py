@@ -32,7 +32,8 @@ def picked(df: DataFrame, signals: list[str]) -> DataFrame:
     return df.filter(F.col("signal").isin(signals))
 
 
-def resampled(df: DataFrame, signals: list[str], period: str, keep: int = dims.HISTORY_ROWS) -> DataFrame:
+def resampled(df: DataFrame, signals: list[str], period: str, keep: int | None = None) -> DataFrame:
+    """The last sample of each period of the chosen channels; a recording keeps all of them unless told otherwise."""
     return T.downsample(picked(df, signals), period, ["event_id", "value"], keep, keys=("device", "signal"))
 
 

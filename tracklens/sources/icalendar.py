@@ -14,7 +14,9 @@ def _property(name: str, group: int = 1, params: str = "") -> Column:
 
 
 def _local(name: str) -> Column:
-    return F.to_timestamp_ntz(_property(name, 1, r"(?:;TZID=[^:]*)?"), F.lit(_STAMP))
+    """The clock time of a property in local, zoned or UTC form; anything else is missing, not an error."""
+    stamp = F.regexp_extract(_property(name, 1, r"(?:;[^:]*)?"), r"^(\d{8}T\d{6})Z?$", 1)
+    return F.to_timestamp_ntz(F.when(stamp != "", stamp), F.lit(_STAMP))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +33,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         .select(
             _property("UID").alias("uid"),
             F.to_timestamp_ntz(_property("DTSTAMP"), F.lit(f"{_STAMP}'Z'")).alias("dtstamp"),
-            F.regexp_extract("_event", r"(?m)^DTSTART;TZID=([^:]*):", 1).alias("tz"),
+            F.when(_property("DTSTART").endswith("Z"), "UTC")
+            .otherwise(F.regexp_extract("_event", r"(?m)^DTSTART;TZID=([^:]*):", 1))
+            .alias("tz"),
             _local("DTSTART").alias("start_local"),
             _local("DTEND").alias("end_local"),
             _property("RRULE").alias("_rule"),

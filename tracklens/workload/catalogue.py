@@ -69,7 +69,6 @@ def _(t):
     return plain(C.min_rating(t.books, 2.5))
 
 
-TOP = 100
 _ORDER_SQL = {
     "added": "added DESC",
     "title": "title COLLATE en",
@@ -84,12 +83,11 @@ def _ordering(key):
 
     @query(
         f"shelf_by_{key}",
-        f"""SELECT {COLS}, row_number() OVER (ORDER BY {order}) AS rank FROM books
-        QUALIFY rank <= {TOP}""",
+        f"SELECT {COLS}, row_number() OVER (ORDER BY {order}) AS rank FROM books",
         BOOKS,
     )
     def _(t):
-        return plain(C.top_shelf(t.books, key, TOP)).withColumn("rank", F.col("rank").cast("long"))
+        return plain(C.ranked_shelf(t.books, key))
 
 
 for _key in _ORDER_SQL:

@@ -227,6 +227,17 @@ def _(t):
     return T.downsample(t.telemetry, "6 hours", ["out"], keep=48)
 
 
+@query(
+    "downsample_all",
+    """SELECT device, period_start, ts, out FROM (SELECT device, time_bucket(INTERVAL 6 HOURS, ts) AS period_start, ts, out,
+      row_number() OVER (PARTITION BY device, time_bucket(INTERVAL 6 HOURS, ts) ORDER BY ts DESC, event_id DESC) AS rn
+      FROM telemetry) WHERE rn = 1""",
+    TEL,
+)
+def _(t):
+    return T.downsample(t.telemetry, "6 hours", ["out"])
+
+
 @query(
     "missed_frames",
     f"""SELECT device, event_id, round(gap, 6) AS gap_s, CAST(greatest(floor(coalesce(gap, 0) / 7200) - 1, 0) AS BIGINT)
@@ -392,7 +403,7 @@ def _(t):
 _SAMPLED = """sampled AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY device, signal ORDER BY period_start DESC)
     AS newest FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS period_start, row_number() OVER
       (PARTITION BY device, signal, time_bucket(INTERVAL 1 HOUR, ts) ORDER BY ts DESC, event_id DESC) AS rn
-      FROM recorded WHERE signal IN ('P at POI', 'Plant setpoint')) WHERE rn = 1) WHERE newest <= 480),
+      FROM recorded WHERE signal IN ('P at POI', 'Plant setpoint')) WHERE rn = 1)),
   aligned AS (SELECT f.device, f.ts, f.event_id, f.value AS out,
       CASE WHEN (epoch_us(f.ts) - epoch_us(c.ts)) / 1000000.0::DOUBLE <= 172800 THEN c.value END AS sp
     FROM (SELECT * FROM sampled WHERE signal = 'P at POI') f
