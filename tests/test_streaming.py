@@ -114,3 +114,26 @@ def test_heartbeat(spark, tel):
     # A gap whose device had already been reported silent is not reported a second time.
     unreported = twin.join(gaps, ["device", "ts"], "left_anti")
     assert unreported.join(alarmed, "device", "left_anti").count() == 0
+
+
+def test_older_changes_lose_after_compaction(spark, tables):
+    root = shared_folder(spark, "memory")
+    row = tables.books.limit(1).withColumns({"id": F.lit("n1"), "title": F.lit("new")})
+    gone = row.withColumn("id", F.lit("n2"))
+    changes.write_base(tables.books, root)
+
+    def batch(number, *rows):
+        df = None
+        for source, op, seq, title in rows:
+            made = source.withColumns({"op": F.lit(op), "seq": F.lit(seq).cast("long"), "title": F.lit(title)})
+            df = made if df is None else df.unionByName(made)
+        df.select("id", "op", "seq", *[c for c in changes.BOOK_COLUMNS if c != "id"]).write.parquet(
+            f"{root}/changes/batch={number}"
+        )
+
+    batch(0, (row, "upsert", 10, "new"), (gone, "remove", 10, "x"))
+    version = changes.compact(spark, root, 0)
+    batch(1, (row, "upsert", 5, "stale"), (gone, "upsert", 5, "back"))
+    for at in (version, changes.compact(spark, root, version)):
+        found = {r.id: r.title for r in changes.current(spark, root, at).filter("id IN ('n1', 'n2')").collect()}
+        assert found == {"n1": "new"}
