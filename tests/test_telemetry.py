@@ -175,7 +175,9 @@ def test_dispatch_shares_the_whole_command(spark):
         (2, 50.0, 0.0, False, False, True, 5.0),
         (3, 0.0, 1.0, False, False, True, 9.0),
     ]
-    df = spark.createDataFrame(rows, "plant INT, rating DOUBLE, out DOUBLE, fault BOOLEAN, offline BOOLEAN, included BOOLEAN, cmd DOUBLE")
+    named = [(i, at(0), i, *r) for i, r in enumerate(rows)]
+    schema = "device INT, ts TIMESTAMP_NTZ, event_id INT, plant INT, rating DOUBLE, out DOUBLE, fault BOOLEAN, offline BOOLEAN, included BOOLEAN, cmd DOUBLE"
+    df = spark.createDataFrame(named, schema)
     got = T.dispatch(df, ["plant"]).groupBy("plant").agg(F.sum("limit").alias("s"))
     assert {r.plant: round(r.s, 9) for r in got.collect()} == {1: 62.0, 2: 0.0, 3: 0.0}
 
@@ -242,3 +244,20 @@ def test_downsample_keeps_all_unless_told(spark):
     )
     assert T.downsample(df, "1 hour", ["v"]).count() == 1000
     assert T.downsample(df, "1 hour", ["v"], keep=480).count() == 480
+
+
+def test_denser_sampling_changes_no_plant_figure(spark):
+    """Plant figures add devices, not samples."""
+    schema = "plant INT, device INT, ts TIMESTAMP_NTZ, event_id INT, rating DOUBLE, out DOUBLE, fault BOOLEAN, offline BOOLEAN, included BOOLEAN, sp DOUBLE, clamped BOOLEAN"
+
+    def figures(step):
+        rows = [(1, d, at(s), d * 1000 + s, 100.0, 40.0 + d, d == 3, False, True, 150.0, d == 2) for d in (1, 2, 3) for s in range(0, 60, step)]
+        df = spark.createDataFrame(rows, schema)
+        sums = T.available(df, ["plant"]).first()
+        kpis = T.plant_kpis(df, ["plant"], 500).first()
+        rolling = T.rolling_kpis(df, "1 hour", "1 hour").first()
+        shares = T.dispatch(df, ["plant"], cmd="sp").groupBy("device").agg(F.max("limit").alias("limit"))
+        total = shares.agg(F.sum("limit")).first()[0]
+        return sums.available, sums.constant, kpis.total_out, kpis.clamped, rolling.total_out, round(total, 9)
+
+    assert figures(20) == figures(5) == figures(1) == (200.0, 43.0, 126.0, 1, 126.0, 107.0)

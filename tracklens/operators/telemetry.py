@@ -102,9 +102,22 @@ def device_state(df: DataFrame) -> DataFrame:
 # ---- aggregates ----
 
 
+def latest_samples(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per group and device: the named columns of its latest sample, and how many samples it had.
+
+    Plant figures add devices up, so they start from this; a denser sampling changes nothing in them.
+    """
+    return (
+        df.groupBy(*keys, "device")
+        .agg(F.max_by(F.struct(*columns), F.struct(*ORDER)).alias("_last"), F.count("*").alias("samples"))
+        .select(*keys, "device", "_last.*", "samples")
+    )
+
+
 def available(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Controllable rating, and the constant output of everything that cannot be controlled."""
-    return df.groupBy(*keys).agg(
+    """Controllable rating, and the constant output of everything that cannot be controlled, over each group's devices."""
+    states = latest_samples(df, keys, ["rating", "out", "offline", "fault", "included"])
+    return states.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(controllable(), F.col("rating"))), F.lit(0.0)).alias("available"),
         F.coalesce(F.sum(F.when(~controllable(), F.col("out"))), F.lit(0.0)).alias("constant"),
     )
@@ -120,7 +133,7 @@ def share_of(cmd: Column) -> Column:
 def dispatch(df: DataFrame, keys: list[str], cmd: str = "cmd", sums: DataFrame | None = None) -> DataFrame:
     """Each controllable row's share of the command, in proportion to its rating.
 
-    The group sums are combined before the shuffle and joined back; Spark broadcasts them when they are
+    The group sums count each device once, by its latest sample; they are combined before the shuffle and joined back; Spark broadcasts them when they are
     small and splits a skewed group when they are not. Where the command is costly to compute, pass
     ``sums`` made from the frame without it.
     """
@@ -131,8 +144,8 @@ def dispatch(df: DataFrame, keys: list[str], cmd: str = "cmd", sums: DataFrame |
 
 
 def plant_kpis(df: DataFrame, keys: list[str], db: float, bad: float = 4000.0) -> DataFrame:
-    """Output, setpoint, error with its band, and clamped rows per group."""
-    totals = df.groupBy(*keys).agg(
+    """Output, setpoint, error with its band, and clamped devices per group, each device by its latest sample."""
+    totals = latest_samples(df, keys, ["out", "sp", "clamped", *ORDER]).groupBy(*keys).agg(
         F.sum("out").alias("total_out"),
         F.max_by("sp", F.struct(*ORDER)).alias("setpoint"),
         F.count_if("clamped").alias("clamped"),
@@ -332,13 +345,15 @@ def periodic_eval(df: DataFrame, period: str, keys: tuple[str, ...] = ("device",
 
 
 def rolling_kpis(df: DataFrame, window: str, slide: str, keys: tuple[str, ...] = ("plant",)) -> DataFrame:
-    """Output, samples and last setpoint over a sliding window."""
+    """Output of all devices by their latest sample, samples and last setpoint over a sliding window."""
     return (
-        df.groupBy(*keys, F.window("ts", window, slide).alias("_w"))
+        df.groupBy(*keys, "device", F.window("ts", window, slide).alias("_w"))
+        .agg(F.max_by(F.struct("out", "sp", *ORDER), F.struct(*ORDER)).alias("_last"), F.count("*").alias("samples"))
+        .groupBy(*keys, "_w")
         .agg(
-            F.sum("out").alias("total_out"),
-            F.count("*").alias("samples"),
-            F.max_by("sp", F.struct(*ORDER)).alias("setpoint"),
+            F.sum("_last.out").alias("total_out"),
+            F.sum("samples").alias("samples"),
+            F.max_by("_last.sp", F.struct("_last.ts", "_last.event_id")).alias("setpoint"),
         )
         .select(*keys, F.col("_w.start").alias("window_start"), "total_out", "samples", "setpoint")
     )

@@ -10,7 +10,7 @@ from tracklens.streaming import changes, runs, stateful, windows
 from tracklens.workload.catalogue import COLS, plain
 from tracklens.workload.interactions import _CHECKLIST
 from tracklens.workload.registry import query
-from tracklens.workload.telemetry import _ADAPTIVE, _RAMP, HOUR, TEL, r6
+from tracklens.workload.telemetry import _ADAPTIVE, _RAMP, _ROLLING, HOUR, TEL, r6
 
 _CLOSED = "<= (SELECT max(ts) FROM telemetry) - INTERVAL 12 HOURS"
 
@@ -60,11 +60,7 @@ def _(t):
 
 @query(
     "stream_trend",
-    f"""SELECT plant, w AS window_start, round(sum(out), 4) AS total_out, count(*) AS samples,
-    arg_max(sp, row(ts, event_id)) AS setpoint FROM (SELECT *, unnest([time_bucket(INTERVAL 6 HOURS, ts),
-      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 6 HOURS, time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 12 HOURS,
-      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 18 HOURS]) AS w FROM telemetry) GROUP BY plant, w
-    HAVING w + INTERVAL 24 HOURS {_CLOSED}""",
+    f"{_ROLLING} GROUP BY plant, w HAVING w + INTERVAL 24 HOURS {_CLOSED}",
     TEL,
 )
 def _(t):

@@ -113,24 +113,25 @@ def _(t):
 @query(
     "plant_alarm",
     f"""WITH {_ADAPTIVE} SELECT plant, day, clamped, stuck, round(irradiance, 6) AS irradiance,
-    CASE WHEN clamped > 2 THEN 'clamped' WHEN stuck > 12 THEN 'stuck' WHEN irradiance < 0.98 THEN 'irradiance' ELSE 'normal' END
-    AS alarm FROM (SELECT plant, date_trunc('day', ts) AS day, count(*) FILTER (clamped) AS clamped,
-      count(*) FILTER (NOT responsive) AS stuck, CAST(sum(CAST(least(1, out / 50.0::DOUBLE) AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS irradiance FROM flagged GROUP BY ALL)""",
+    CASE WHEN clamped > 0 THEN 'clamped' WHEN stuck > 0 THEN 'stuck' WHEN irradiance < 0.98 THEN 'irradiance' ELSE 'normal' END
+    AS alarm FROM (SELECT plant, day, count(*) FILTER (clamped) AS clamped,
+      count(*) FILTER (NOT responsive) AS stuck, CAST(sum(CAST(least(1, out / 50.0::DOUBLE) AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS irradiance
+      FROM (SELECT *, date_trunc('day', ts) AS day, row_number() OVER (PARTITION BY device, date_trunc('day', ts)
+        ORDER BY ts DESC, event_id DESC) AS rn FROM flagged) WHERE rn = 1 GROUP BY ALL)""",
     TEL,
 )
 def _(t):
-    """Alarms per plant and day; the day's counts are held against two clamped and twelve stuck samples."""
-    flagged = T.adaptive_limit(t.telemetry, delay=12 * HOUR)
-    daily = flagged.groupBy("plant", T.bucket(F.col("ts"), "1 day").alias("day")).agg(
+    """Alarms per plant and day, from the devices' last states of the day."""
+    flagged = T.adaptive_limit(t.telemetry, delay=12 * HOUR).withColumn("day", T.bucket(F.col("ts"), "1 day"))
+    states = T.latest_samples(flagged, ["plant", "day"], ["clamped", "responsive", "out"])
+    daily = states.groupBy("plant", "day").agg(
         F.count_if("clamped").alias("clamped"),
         F.count_if(~F.col("responsive")).alias("stuck"),
         (F.sum(F.least(F.lit(1.0), F.col("out") / 50.0).cast("decimal(18,4)")).cast("double") / F.count("*")).alias(
             "irradiance"
         ),
     )
-    shifted = daily.withColumns({"clamped": F.col("clamped") - 2, "stuck": F.col("stuck") - 12})
-    alarms = T.alarm(shifted).withColumns({"clamped": F.col("clamped") + 2, "stuck": F.col("stuck") + 12})
-    return r6(alarms.withColumn("day", F.col("day").cast("timestamp_ntz")), "irradiance")
+    return r6(T.alarm(daily).withColumn("day", F.col("day").cast("timestamp_ntz")), "irradiance")
 
 
 @query(
@@ -148,8 +149,10 @@ def _(t):
     "plant_kpis",
     f"""WITH {_ADAPTIVE} SELECT plant, day, round(total_out, 4) AS total_out, setpoint, round(setpoint - total_out, 4) AS err,
     CASE WHEN abs(setpoint - total_out) <= 500 THEN 'ok' WHEN abs(setpoint - total_out) > 4000 THEN 'bad' ELSE 'caution' END
-    AS band, clamped FROM (SELECT plant, date_trunc('day', ts) AS day, sum(out) AS total_out,
-      arg_max(sp, row(ts, event_id)) AS setpoint, count(*) FILTER (clamped) AS clamped FROM flagged GROUP BY ALL)""",
+    AS band, clamped FROM (SELECT plant, day, sum(out) FILTER (rn = 1) AS total_out,
+      arg_max(sp, row(ts, event_id)) AS setpoint, count(*) FILTER (clamped AND rn = 1) AS clamped
+      FROM (SELECT *, date_trunc('day', ts) AS day, row_number() OVER (PARTITION BY device, date_trunc('day', ts)
+        ORDER BY ts DESC, event_id DESC) AS rn FROM flagged) GROUP BY ALL)""",
     TEL,
 )
 def _(t):
@@ -160,7 +163,8 @@ def _(t):
 
 _AVAILABLE = f"""sums AS (SELECT plant, time_bucket(INTERVAL 6 HOURS, ts) AS period,
   coalesce(sum(CASE WHEN {_CAN} THEN rating END), 0) AS available,
-  coalesce(sum(CASE WHEN NOT ({_CAN}) THEN out END), 0) AS constant FROM telemetry GROUP BY ALL)"""
+  coalesce(sum(CASE WHEN NOT ({_CAN}) THEN out END), 0) AS constant FROM (SELECT *, row_number() OVER (PARTITION BY device,
+    time_bucket(INTERVAL 6 HOURS, ts) ORDER BY ts DESC, event_id DESC) AS rn FROM telemetry) WHERE rn = 1 GROUP BY ALL)"""
 
 
 @query(
@@ -176,12 +180,12 @@ def _(t):
 @query(
     "dispatch",
     f"""WITH {_AVAILABLE} SELECT event_id, t.plant, period, round(CASE WHEN {_CAN} THEN rating *
-    CASE WHEN available > 0 THEN greatest(0, sp * 10 - constant) / available ELSE 0 END END, 6) AS "limit"
+    CASE WHEN available > 0 THEN greatest(0, sp - constant) / available ELSE 0 END END, 6) AS "limit"
     FROM telemetry t JOIN sums s ON t.plant = s.plant AND time_bucket(INTERVAL 6 HOURS, ts) = period""",
     TEL,
 )
 def _(t):
-    rows = t.telemetry.withColumns({"period": T.bucket(F.col("ts"), "6 hours"), "cmd": F.col("sp") * 10})
+    rows = t.telemetry.withColumns({"period": T.bucket(F.col("ts"), "6 hours"), "cmd": F.col("sp")})
     return r6(T.dispatch(rows, ["plant", "period"]).select("event_id", "plant", "period", "limit"), "limit")
 
 
@@ -346,12 +350,16 @@ def _(t):
     return T.periodic_eval(t.telemetry, "6 hours")
 
 
+_ROLLING = """SELECT plant, w AS window_start, round(sum(out) FILTER (rn = 1), 4) AS total_out, count(*) AS samples,
+    arg_max(sp, row(ts, event_id)) AS setpoint FROM (SELECT *, row_number() OVER (PARTITION BY device, w
+      ORDER BY ts DESC, event_id DESC) AS rn FROM (SELECT *, unnest([time_bucket(INTERVAL 6 HOURS, ts),
+      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 6 HOURS, time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 12 HOURS,
+      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 18 HOURS]) AS w FROM telemetry))"""
+
+
 @query(
     "rolling_kpis",
-    """SELECT plant, w AS window_start, round(sum(out), 4) AS total_out, count(*) AS samples,
-    arg_max(sp, row(ts, event_id)) AS setpoint FROM (SELECT *, unnest([time_bucket(INTERVAL 6 HOURS, ts),
-      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 6 HOURS, time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 12 HOURS,
-      time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 18 HOURS]) AS w FROM telemetry) GROUP BY plant, w""",
+    f"{_ROLLING} GROUP BY plant, w",
     TEL,
 )
 def _(t):
