@@ -98,3 +98,27 @@ def test_adherence(spark):
     log = spark.createDataFrame([("deep", dt.date(2026, 10, 5), 2)], "lane STRING, week_of DATE, entries BIGINT")
     rows = [(r.week_of.day, r.entries, r.posted) for r in K.adherence(plan, log, ["lane"]).orderBy("week_of").collect()]
     assert rows == [(28, 0, False), (5, 2, True), (12, 0, False)]
+
+
+def test_single_events_intervals_and_rejected_rules(spark):
+    rows = [
+        ("once", None, None, None),
+        ("every", "FREQ=WEEKLY;BYDAY=MO,TH", ["MO", "TH"], "2024-01-31 00:00:00"),
+        ("other", "FREQ=WEEKLY;INTERVAL=2;BYDAY=MO,TH", ["MO", "TH"], "2024-01-31 00:00:00"),
+        ("daily", "FREQ=DAILY;UNTIL=20240131T000000Z", None, "2024-01-31 00:00:00"),
+        ("count", "FREQ=WEEKLY;COUNT=3;BYDAY=MO", ["MO"], None),
+        ("second", "FREQ=WEEKLY;BYDAY=2TU", ["2TU"], "2024-01-31 00:00:00"),
+        ("endless", "FREQ=WEEKLY;BYDAY=MO", ["MO"], None),
+    ]
+    df = spark.createDataFrame(rows, "uid STRING, rule STRING, byday ARRAY<STRING>, until STRING").selectExpr(
+        "uid", "rule", "byday", "CAST(until AS TIMESTAMP_NTZ) AS until_utc", "'' AS tz",
+        "TIMESTAMP_NTZ '2024-01-03 09:00:00' AS start_local", "TIMESTAMP_NTZ '2024-01-03 10:00:00' AS end_local",
+    )
+    got = {}
+    for r in K.expand_rules(df).collect():
+        got.setdefault(r.uid, []).append(r.occurs_local.day)
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "once": [3], "every": [4, 8, 11, 15, 18, 22, 25, 29], "other": [4, 15, 18, 29]
+    }
+    reasons = {r.uid: r.reason for r in K.rejected_rules(df).collect()}
+    assert reasons == {"daily": "frequency", "count": "unsupported part", "second": "weekday", "endless": "no end"}

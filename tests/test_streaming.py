@@ -137,3 +137,16 @@ def test_older_changes_lose_after_compaction(spark, tables):
     for at in (version, changes.compact(spark, root, version)):
         found = {r.id: r.title for r in changes.current(spark, root, at).filter("id IN ('n1', 'n2')").collect()}
         assert found == {"n1": "new"}
+
+
+def test_missing_targets_and_times_hold_the_command(spark):
+    """As in batch, over several micro-batches: a missing target or time moves nothing and poisons nothing."""
+    rows = [(1, i, None if i == 3 else 100.0, None if i == 0 else i) for i in range(12)]
+    df = spark.createDataFrame(rows, "device INT, event_id INT, sp DOUBLE, s INT").selectExpr(
+        "CAST(device AS BIGINT) AS device", "CAST(event_id AS BIGINT) AS event_id", "sp",
+        "CAST(timestamp_seconds(1704067200 + s) AS TIMESTAMP_NTZ) AS ts",
+    )
+    out = read(spark, stateful.stream_ramp(as_stream(spark, df, "event_id", batches=3), 10.0))
+    cols = ["device", "event_id", "cmd"]
+    same(out.select(cols), ramp_limit(df, 10.0).select(cols))
+    assert out.filter("cmd IS NULL OR isnan(cmd)").count() == 0

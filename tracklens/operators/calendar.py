@@ -17,19 +17,35 @@ def to_instant(local: Column, tz: Column) -> Column:
 def expand_rules(rules: DataFrame, keep: tuple[str, ...] = ("uid",)) -> DataFrame:
     """Weekly rules to occurrences at their local clock time, from the start through ``until_utc``.
 
-    Each weekday steps by seven days from its own first date, so no day is generated and thrown away.
-    Only the last two dates can pass the end, so only they are compared as instants.
+    Each weekday steps by its interval of weeks from the start's week, so hardly a day is generated and thrown away.
+    Only the last two dates can pass the end, so only they are compared as instants. An event without a rule
+    occurs once; a clock time without a zone counts as UTC; ``rejected_rules`` returns what is not expanded.
     """
+    once = _rule(rules).isNull() & F.col("byday").isNull()
+    own_day = F.array(F.upper(F.substring(F.date_format("start_local", "E"), 1, 2)))
+    weeks = F.greatest(F.coalesce(_part(rules, "INTERVAL").try_cast("int"), F.lit(1)), F.lit(1))
+    rules = (
+        rules.filter(rule_problem(rules).isNull())
+        .withColumns({"tz": F.coalesce(F.nullif("tz", F.lit("")), F.lit("UTC")), "_weeks": weeks, "_once": once})
+        .withColumns(
+            {
+                "byday": F.coalesce("byday", own_day),
+                "until_utc": F.when(F.col("_once"), to_instant(F.col("start_local"), F.col("tz"))).otherwise(
+                    F.col("until_utc")
+                ),
+            }
+        )
+    )
     day = F.explode(F.array_distinct("byday")).alias("_day")
     last = F.convert_timezone(F.lit("UTC"), F.col("tz"), F.col("until_utc")).cast("date")
-    first = F.expr("next_day(date_sub(cast(start_local AS DATE), 1), _day)")
-    dates = F.when(F.col("_first") <= F.col("_last"), F.expr("sequence(_first, _last, INTERVAL 7 DAYS)"))
+    first = F.expr("next_day(date_sub(next_day(date_sub(cast(start_local AS DATE), 7), 'MO'), 1), _day)")
+    dates = F.when(F.col("_first") <= F.col("_last"), F.expr("sequence(_first, _last, make_interval(0, 0, _weeks))"))
     starts = F.col("_date").cast("timestamp_ntz") + (
         F.col("start_local") - F.col("start_local").cast("date").cast("timestamp_ntz")
     )
     return (
         rules.withColumns({"_last": last, "_length": F.col("end_local") - F.col("start_local")})
-        .select(*keep, "tz", "start_local", "until_utc", "_last", "_length", day)
+        .select(*keep, "tz", "start_local", "until_utc", "_last", "_length", "_weeks", day)
         .withColumn("_first", first)
         .withColumn("_date", F.explode(dates))
         .withColumn("occurs_local", starts)
@@ -40,6 +56,37 @@ def expand_rules(rules: DataFrame, keep: tuple[str, ...] = ("uid",)) -> DataFram
     )
 
 
+def _rule(rules: DataFrame) -> Column:
+    return F.col("rule") if "rule" in rules.columns else F.lit(None).cast("string")
+
+
+def _part(rules: DataFrame, name: str) -> Column:
+    return F.try_element_at(F.str_to_map(_rule(rules), F.lit(";"), F.lit("=")), F.lit(name))
+
+
+def rule_problem(rules: DataFrame) -> Column:
+    """Why a rule is not expanded; NULL for a weekly rule with an end, and for an event without a rule.
+
+    The parts of the rule are looked up in its text, ``rule``, where the frame has one.
+    """
+    parts = F.transform(F.split(_rule(rules), ";"), lambda p: F.split(p, "=")[0])
+    known = F.array(*[F.lit(n) for n in ("FREQ", "INTERVAL", "BYDAY", "UNTIL", "WKST")])
+    week_start = _part(rules, "WKST")
+    has_rule = _rule(rules).isNotNull() | F.col("byday").isNotNull()
+    return (
+        F.when(F.col("start_local").isNull(), "no start")
+        .when(_part(rules, "FREQ") != "WEEKLY", "frequency")
+        .when((F.size(F.array_except(parts, known)) > 0) | (week_start != "MO"), "unsupported part")
+        .when(F.exists("byday", lambda d: ~d.isin("MO", "TU", "WE", "TH", "FR", "SA", "SU")), "weekday")
+        .when(has_rule & F.col("until_utc").isNull(), "no end")
+    )
+
+
+def rejected_rules(rules: DataFrame) -> DataFrame:
+    """The rules that ``expand_rules`` leaves out, each with its ``reason``."""
+    return rules.withColumn("reason", rule_problem(rules)).filter(F.col("reason").isNotNull())
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MINUTE", start, end)
 

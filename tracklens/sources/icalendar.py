@@ -20,7 +20,7 @@ def _local(name: str) -> Column:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """One row per event: ids, local start and end with their zone, the weekly rule, and the texts.
+    """One row per event: ids, local start and end with their zone, the weekly rule with its own text, and the other texts.
 
     The reader cuts the files where an event begins, so a calendar of any length splits across tasks.
     """
@@ -49,5 +49,5 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
                 "until_utc": F.to_timestamp_ntz(F.try_element_at(rule, F.lit("UNTIL")), F.lit(f"{_STAMP}'Z'")),
             }
         )
-        .drop("_rule")
+        .withColumnRenamed("_rule", "rule")
     )

@@ -1,7 +1,8 @@
 """Streams with state of their own per series: ramp limit, stuck-device cap, heartbeat alarm.
 
 Each keeps a few numbers per series. Within a micro-batch a series' rows are put in order first; a row
-older than the last one already processed is dropped and counted. The source's trigger limits
+older than the last one already processed is dropped and counted; a row without a time holds what is known,
+and a missing target holds the command. The source's trigger limits
 (such as ``maxFilesPerTrigger``) bound how many rows one series can bring in one batch.
 """
 
@@ -19,7 +20,7 @@ from tracklens.operators.telemetry import controllable, micros
 
 
 def _ordered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(batches), ignore_index=True).sort_values(["us", "event_id"], kind="stable")
+    return pd.concat(list(batches), ignore_index=True).sort_values(["us", "event_id"], kind="stable", na_position="first")
 
 
 def _rows(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
@@ -33,13 +34,15 @@ def stream_ramp(sdf: DataFrame, rate: float, want: str = "sp") -> DataFrame:
         cmd, last, late = state.get if state.exists else (0.0, None, 0)
         out = []
         for r in _ordered(batches).itertuples(index=False):
-            if last is not None and r.us < last:
+            timed = not pd.isna(r.us)
+            if timed and last is not None and r.us < last:
                 late += 1
                 continue
-            limit = rate * ((r.us - last) / 1_000_000.0) if last is not None else 0.0
-            cmd = step(cmd, r.want, limit) if rate > 0 else r.want
-            last = r.us
-            out.append((key[0], r.us, r.event_id, cmd, late))
+            limit = rate * ((r.us - last) / 1_000_000.0) if timed and last is not None else 0.0
+            if not pd.isna(r.want):
+                cmd = step(cmd, r.want, limit) if rate > 0 else r.want
+            last = int(r.us) if timed else last
+            out.append((key[0], r.us if timed else None, r.event_id, cmd, late))
         state.update((cmd, last, late))
         yield _rows(out, ["device", "us", "event_id", "cmd", "late"])
 
@@ -62,15 +65,18 @@ def stream_adaptive(sdf: DataFrame, delay: float, factor: float = 1.15) -> DataF
         since, last, late = state.get if state.exists else (None, None, 0)
         out = []
         for r in _ordered(batches).itertuples(index=False):
+            if pd.isna(r.us):
+                out.append((key[0], None, r.event_id, False, None, late))
+                continue
             if last is not None and r.us < last:
                 late += 1
                 continue
-            last = r.us
+            last = int(r.us)
             clamped = False
             if r.counts and r.responsive:
                 since = None
             elif r.counts:
-                since = r.us if since is None else since
+                since = last if since is None else since
                 clamped = (r.us - since) / 1_000_000.0 >= delay
             out.append((key[0], r.us, r.event_id, clamped, r.out * factor if clamped else None, late))
         state.update((since, last, late))
@@ -107,11 +113,13 @@ def stream_heartbeat(sdf: DataFrame, period_s: float, lateness: str) -> DataFram
         last = state.get[0] if state.exists else None
         out = []
         for r in _ordered(batches).itertuples(index=False):
-            if last is not None and r.us < last:
+            if pd.isna(r.us) or (last is not None and r.us < last):
                 continue
             if last is not None and (r.us - last) // period - 1 > 0:
                 out.append((key[0], last, r.us, (r.us - last) // period - 1))
-            last = r.us
+            last = int(r.us)
+        if last is None:
+            return
         state.update((last,))
         due = (last + 2 * period) // 1000
         state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))

@@ -43,6 +43,20 @@ def _(t):
     )
 
 
+@query(
+    "calendar_rejects",
+    """SELECT uid, CASE WHEN uid % 5 = 0 THEN 'frequency' WHEN uid % 5 = 1 THEN 'unsupported part'
+    ELSE 'no end' END AS reason FROM rules WHERE uid % 5 < 3""",
+    ("rules",),
+)
+def _(t):
+    """Rules that are not weekly, use other parts, or never end, with the reason each is not expanded."""
+    kind = F.col("uid") % 5
+    rule = F.when(kind == 0, "FREQ=DAILY").when(kind == 1, "FREQ=WEEKLY;COUNT=3").otherwise("FREQ=WEEKLY;INTERVAL=2")
+    endless = F.when(kind != 2, F.col("until_utc"))
+    return K.rejected_rules(t.rules.withColumns({"rule": rule, "until_utc": endless})).select("uid", "reason")
+
+
 @query(
     "weekly_hours",
     "SELECT owner, lane, sum(len(byday) * minutes) / 60.0::DOUBLE AS hours FROM rules GROUP BY ALL",
@@ -80,7 +94,7 @@ def _(t):
     )
     path = shared_folder(t.spark, "calendar")
     t.rules.select(lines.alias("value")).write.text(path)
-    return read_events(t.spark, path).drop("dtstamp").withColumn("byday", F.array_join("byday", ","))
+    return read_events(t.spark, path).drop("dtstamp", "rule").withColumn("byday", F.array_join("byday", ","))
 
 
 @query(
