@@ -5,7 +5,7 @@ from tracklens import dims
 from tracklens.operators import catalogue as C
 from tracklens.plans import shelf_report
 from tracklens.session import shared_folder
-from tracklens.sources.catalogue import load_books, save_books
+from tracklens.sources.catalogue import load_books, rejected_books, save_books
 
 TYPED = "id STRING, title STRING, author STRING, format STRING, retailer STRING, price DECIMAL(10,2), rating DOUBLE, status STRING, note STRING, added BIGINT"
 
@@ -153,6 +153,18 @@ def test_load_falls_back_to_the_seed(spark, seed, tmp_path):
     assert [(r.id, r.price) for r in rows] == [("q", "3"), ("r", None)]
 
 
+def test_the_stored_form_is_found_and_unreadable_rows_are_returned(spark, tmp_path):
+    (tmp_path / "array").write_text('\n[{"id": "q"},\n {"id": "r"}]')
+    assert ids(load_books(spark, str(tmp_path / "array"))) == ["q", "r"]
+    assert rejected_books(spark, str(tmp_path / "array")).count() == 0
+    (tmp_path / "lines").write_text('{"id": "q"}\n\n{oops\n')
+    assert ids(load_books(spark, str(tmp_path / "lines"))) == ["q"]
+    assert [tuple(r) for r in rejected_books(spark, str(tmp_path / "lines")).collect()] == [("{oops", "not an object")]
+    (tmp_path / "cut").write_text('[{"id": "q"')
+    assert [r.reason for r in rejected_books(spark, str(tmp_path / "cut")).collect()] == ["not an array"]
+    assert rejected_books(spark, str(tmp_path / "missing")).count() == 0
+
+
 def test_save_never_overwrites(spark, seed):
     path = save_books(seed, shared_folder(spark, "books"))
     with pytest.raises(Exception, match="(?i)exist"):

@@ -122,3 +122,15 @@ def test_broken_references_and_faults(spark):
     assert [r.ref for r in R.broken_refs(uses, defs).collect()] == ["gone", None]
     bits = spark.createDataFrame([(1, 0), (1, 4), (2, 0)], "device INT, bits INT")
     assert {r.device: r.fault for r in R.any_fault(bits, ["device"]).collect()} == {1: True, 2: False}
+
+
+def test_template_ranking_by_request_rows(spark):
+    cands = spark.createDataFrame(
+        [(1, "a", 1, 1), (2, "b", 1, 0), (3, "c", 1, 1), (4, "d", 0, 0)], "ord INT, name STRING, inv INT, hyb INT"
+    )
+    wants = spark.createDataFrame(
+        [("x", "inv"), ("x", "hyb"), ("x", "hyb"), ("y", "none"), (None, "hyb")], "request STRING, feature STRING"
+    )
+    rows = R.rank_templates(R.held_features(cands, ["inv", "hyb"]), wants.filter("request IS NOT NULL")).collect()
+    got = sorted((r.request, r.place, r.ord, r.score, r.pct) for r in rows)
+    assert got == [("x", 1, 1, 2, 100), ("x", 1, 3, 2, 100), ("x", 3, 2, 1, 50)]

@@ -24,9 +24,9 @@ def label_role(df: DataFrame) -> DataFrame:
 
 def track_summary(df: DataFrame) -> DataFrame:
     """Entries per track and role, with track subtotals (level 1) and the grand total (level 3)."""
-    return (
-        df.rollup("track", "role")
-        .agg(F.count("*").alias("entries"), F.grouping_id().cast("int").alias("level"))
+    counted = df.groupBy("track", "role").agg(F.count("*").alias("_n"))  # first, so that only counts are expanded
+    return counted.rollup("track", "role").agg(
+        F.sum("_n").alias("entries"), F.grouping_id().cast("int").alias("level")
     )
 
 

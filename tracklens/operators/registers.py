@@ -180,3 +180,37 @@ def best_template(cands: DataFrame, wants: dict[str, bool], keys: list[str] | No
             F.col("_best.pct").alias("pct"),
         )
     )
+
+
+def held_features(cands: DataFrame, features: list[str]) -> DataFrame:
+    """``ord, name, feature``: one row per feature that a candidate has."""
+    long = cands.unpivot(["ord", "name"], features, "feature", "_has")
+    return long.filter(F.col("_has") != 0).drop("_has")
+
+
+def rank_templates(held: DataFrame, wants: DataFrame) -> DataFrame:
+    """Candidates per request: score, percent of the wanted features, and place (equal scores share one; they stand
+    in the order of ``ord``).
+
+    ``held`` has one row per candidate and feature, ``wants`` one per ``request`` and feature. They meet on the feature,
+    so a candidate without a wanted feature has no row: a request without rows has no usable base. Places come from
+    the number of candidates per request and score, so no task sees all candidates of a request.
+    """
+    wants = wants.select("request", "feature").distinct()
+    totals = wants.groupBy("request").agg(F.count("*").alias("_total"))
+    scored = (
+        wants.join(held.select("ord", "name", "feature").distinct(), "feature")
+        .groupBy("request", "ord", "name")
+        .agg(F.count("*").cast("int").alias("score"))
+    )
+    better = W.partitionBy("request").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
+    places = (
+        scored.groupBy("request", "score")
+        .agg(F.count("*").alias("_n"))
+        .select("request", "score", (F.coalesce(F.sum("_n").over(better), F.lit(0)) + 1).alias("place"))
+    )
+    return (
+        scored.join(places, ["request", "score"])
+        .join(totals, "request")
+        .select("request", "ord", "name", "score", half_up(F.col("score") / F.col("_total") * 100).alias("pct"), "place")
+    )

@@ -9,7 +9,7 @@ from tracklens.functions import text
 from tracklens.operators import catalogue as C
 from tracklens.plans import shelf_report
 from tracklens.session import shared_folder
-from tracklens.sources.catalogue import load_books, save_books
+from tracklens.sources.catalogue import load_books, rejected_books, save_books
 from tracklens.workload.registry import query
 
 BOOKS = ("books",)
@@ -247,6 +247,19 @@ def _(t):
     return stored.withColumns({"price": F.col("price").cast("double"), "rating": F.col("rating").cast("double")})
 
 
+@query(
+    "catalogue_rejects",
+    """SELECT '{"id": "' || id || '", "status": ' AS value, 'not an object' AS reason FROM books WHERE status = 'read'""",
+    BOOKS,
+)
+def _(t):
+    whole = F.to_json(F.struct("id", "status"))
+    cut = F.concat(F.lit('{"id": "'), "id", F.lit('", "status": '))
+    path = shared_folder(t.spark, "catalogue")
+    t.books.select(F.when(F.col("status") == "read", cut).otherwise(whole).alias("value")).write.text(path)
+    return rejected_books(t.spark, path)
+
+
 @query("catalogue_save", f"SELECT {COLS} FROM books", BOOKS)
 def _(t):
     path = save_books(t.books, shared_folder(t.spark, "catalogue"), fmt="parquet")
