@@ -348,6 +348,24 @@ def test_toxicity(spark):
     assert toxicity.train(docs.limit(0), marks.limit(0)).score("anything.")[0] < toxicity.THRESHOLD
 
 
+def test_toxicity_without_both_labels(spark):
+    rng = random.Random(8)
+    rows = [(i, ". ".join(prose(rng, 4) for _ in range(n)) + ".") for i, n in enumerate((1, 20, 300, 3000))]
+    docs = documents(spark, rows)
+    for labels in ([], [(i, 0) for i in range(4)], [(i, 1) for i in range(4)], [(70, 0), (71, 1)]):
+        marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+        assert {r.doc_id for r in toxicity.reject(docs, marks).collect()} == {0, 1, 2, 3}
+
+
+def test_toxicity_learns_from_long_documents(spark):
+    rng = random.Random(9)
+    rows = [(i, ". ".join(prose(rng, 10) for _ in range(250)) + ". vile." * (i % 2)) for i in range(60)]
+    docs = documents(spark, rows)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, marks)
+    assert model.score("vile.")[0] > 10 * model.score("ba.")[0]
+
+
 def test_noisy_or_is_whole():
     weights = np.zeros(1 << toxicity.BITS)
     model = toxicity.Model(weights, -1.0)

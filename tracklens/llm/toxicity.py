@@ -7,14 +7,14 @@ make a document toxic come out as a by-product.
 
 A word has a weight for itself and one for each of its first ``PREFIXES`` letters, so that inflected forms share what their
 stem is worth; all are hashed to ``2**BITS`` weights. Training takes at most ``SAMPLE`` labelled documents of each
-label, those with the smallest hash of their id, and of these the ones of at most ``SAMPLE_WORDS`` words, whole; scoring
-covers every word of every document in Arrow batches without a shuffle.
+label, those with the smallest hash of their id, and ends a label's sample with the document that brings it to
+``SAMPLE_CHARS`` characters; no document is left out or cut for its length. Scoring covers every word of every document
+in Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -31,13 +31,15 @@ BITS = 18
 PREFIXES = (4, 5, 6)
 WIDTH = 1 + len(PREFIXES)
 SAMPLE = 3000
-SAMPLE_WORDS = 2000
+SAMPLE_CHARS = 8_000_000
 ROUNDS = 150
 RATE = 4.0
 BIAS_RATE = 0.4
 MOMENTUM = 0.9
 DECAY = 0.2
 THRESHOLD = 0.3
+#: The bias of a model that has not seen both labels: 1e-17 a sentence, so no number of sentences reaches the threshold.
+NOTHING_LEARNT = -40.0
 CACHED_WORDS = 200_000
 
 _sentence_end = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -109,12 +111,13 @@ def fit(
     """
     bags_at = [i for i, (_, starts) in enumerate(bags) if len(starts)]
     size = 1 << BITS
-    weights, bias = np.zeros(size), -4.0
+    weights = np.zeros(size)
     if not bags_at or len(set(labels[bags_at].tolist())) < 2:
-        return Model(weights, bias)
+        return Model(weights, NOTHING_LEARNT)
     y = labels[bags_at].astype(np.float64)
     flat = np.concatenate([bags[i][0] for i in bags_at])
     counts = np.array([len(bags[i][1]) for i in bags_at])
+    bias = min(-4.0, -float(np.log(counts.mean())))  # long documents do not start out as toxic
     offsets = np.cumsum([0] + [len(bags[i][0]) for i in bags_at[:-1]])
     starts = np.concatenate([bags[i][1] + o for i, o in zip(bags_at, offsets, strict=True)])
     lengths = np.diff(np.append(starts, len(flat)))
@@ -125,10 +128,11 @@ def fit(
     for _ in range(rounds):
         p = _sigmoid(bias + np.add.reduceat(weights[flat], starts))
         clean = np.log1p(-np.minimum(p, 1 - 1e-9))
-        none = np.exp(np.add.reduceat(clean, first))  # probability that no sentence is toxic
-        doc = np.clip(1 - none, 1e-6, 1 - 1e-6)
+        none = np.add.reduceat(clean, first)  # logarithm of the probability that no sentence is toxic
+        none, doc = np.exp(none), np.maximum(-np.expm1(none), 1e-300)
         # d loss / d logit of a sentence: p for a clean document, -p * none / doc for a toxic one
-        grad = p * np.where(y == 1, -none / doc, 1.0)[of_doc] * importance[of_doc]
+        # no document pulls with more than 1 in sum, or one with thousands of sentences would throw the bias out of reach
+        grad = p * np.where(y == 1, -none / doc, 1 / np.maximum(1, np.add.reduceat(p, first)))[of_doc] * importance[of_doc]
         by_word = np.bincount(flat, weights=np.repeat(grad, lengths), minlength=size) + decay * weights
         speed = MOMENTUM * speed - RATE * by_word
         bias_speed = MOMENTUM * bias_speed - BIAS_RATE * grad.sum()
@@ -142,11 +146,11 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
     """A model from the documents that have a label and are not held out.
 
     Rows without an id or label are not used. An id with several rows or labels is used once: with the largest label
-    and the text of smallest hash. With one label only, or none, the model calls every sentence clean.
+    and the text of smallest hash. With one label only, or none, the model calls every document clean.
     """
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("did"), F.col("toxic").cast("int").alias("toxic"))
@@ -159,33 +163,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for label in (0, 1):
         part = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("did"), "did").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # at most twice the sample, a few bytes a row
+    chosen = written(chosen, "toxicity-sample")
     picked = docs.select(F.col("doc_id").cast("long").alias("did"), F.col("text").cast("string").alias("text"))
-    texts = picked.join(F.broadcast(written(chosen, "toxicity-sample")), "did")
+    picked = picked.withColumn("mark", F.xxhash64("text"))
+    # at most twice the sample, a few bytes a row
+    sizes = picked.select("did", "mark", F.coalesce(F.char_length("text"), F.lit(0)).alias("n"))
+    sizes = sizes.join(F.broadcast(chosen), "did").groupBy("did", "toxic")
+    sizes = sizes.agg(F.min(F.struct("mark", "n")).alias("first"), F.xxhash64("did").alias("place"))
+    kept, chars = [], {0: 0, 1: 0}
+    for row in sorted(sizes.collect(), key=lambda r: (r.place, r.did)):
+        if chars[row.toxic] < sample_chars:
+            chars[row.toxic] += row.first.n
+            kept.append((row.did, row.first.mark, row.toxic))
+    wanted = docs.sparkSession.createDataFrame(kept, "did long, mark long, toxic int")
+    texts = picked.join(F.broadcast(wanted), ["did", "mark"]).groupBy("did", "mark", "toxic")
+    texts = texts.agg(F.min("text").alias("text")).select("did", "toxic", "text")  # a repeated row once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for did, text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                flat, starts = slots(text)
-                if len(flat) > SAMPLE_WORDS * WIDTH:
-                    continue
-                starts = starts.astype(np.int32)
-                rows.append((did, label, zlib.crc32(flat.tobytes()), flat.tobytes(), starts.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            made = [slots(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["did", "toxic", "mark", "flat", "starts"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([flat.tobytes() for flat, _ in made], pa.binary()),
+                    pa.array([starts.astype(np.int32).tobytes() for _, starts in made], pa.binary()),
+                ],
+                names=["did", "toxic", "flat", "starts"],
             )
 
-    made = texts.mapInArrow(run, "did long, toxic int, mark long, flat binary, starts binary")
-    once: dict[int, tuple] = {}
-    for row in made.toLocalIterator():
-        if row.did not in once or (row.mark, row.flat) < once[row.did][:2]:
-            once[row.did] = (row.mark, bytes(row.flat), bytes(row.starts), row.toxic)
+    made = texts.mapInArrow(run, "did long, toxic int, flat binary, starts binary")
+    once = {row.did: (bytes(row.flat), bytes(row.starts), row.toxic) for row in made.toLocalIterator()}
     rows = [once[k] for k in sorted(once)]
-    bags = [(np.frombuffer(f, np.int32), np.frombuffer(s, np.int32).astype(np.int64)) for _, f, s, _ in rows]
+    bags = [(np.frombuffer(f, np.int32), np.frombuffer(s, np.int32).astype(np.int64)) for f, s, _ in rows]
     count = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     share = count.get(1, 0) / max(1, sum(count.values()))  # as frequent as among all labels, whatever was sampled
     return fit(bags, np.array([t for *_, t in rows], dtype=np.int64), share=share)
