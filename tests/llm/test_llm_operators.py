@@ -396,6 +396,18 @@ def test_html(spark):
     assert wrappers.extract(frame.limit(0)).count() == 0
 
 
+def test_html_noise_is_a_whole_token():
+    for opening in ("<body class='no-sidebar'>", "<body class='sidebar' role='dialog'>", "<body class='has-sidebar nav'>"):
+        assert wrappers.main_text(f"<html class='menu'>{opening}<p>text</p><div class='x sidebar'>no</div></body>") == "text"
+    inside = "<main class='widget'><article class='post comments-open related'><div class='content-widget'><p>text</p></div>"
+    assert wrappers.main_text(f"{inside}<div class='comments'>no</div></article></main>") == "text"
+
+
+def test_html_keeps_figures():
+    figure = "<figure><img src='x'><table><tr><td>cell</td></tr></table><figcaption>caption</figcaption></figure>"
+    assert wrappers.main_text(f"<article><p>text</p>{figure}</article>") == "text\n\ncell\n\ncaption"
+
+
 def test_wrapper_expression():
     found = wrappers.infer([page("a", "<p>x</p>"), page("b", "<p>y</p><p>z</p><ul><li>q</li></ul>")])
     assert "(<p>#</p>)+" in found["expression"] and "(<ul>" in found["expression"]
