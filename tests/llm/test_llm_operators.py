@@ -408,6 +408,20 @@ def test_html_keeps_figures():
     assert wrappers.main_text(f"<article><p>text</p>{figure}</article>") == "text\n\ncell\n\ncaption"
 
 
+def test_html_keeps_repeated_passages(spark):
+    shared = "<h2>Summary</h2><p>A passage in all articles.</p>"
+    bare = "<div class='top'>Our site</div><div class='post'><h1>T{0}</h1>%s<p>text {0}</p></div>" % shared
+    rows = [(i, "http://a.example/", f"<article><h1>T{i}</h1>{shared}<p>text {i}</p></article>") for i in range(4)]
+    rows += [(10 + i, "http://b.example/", bare.format(i)) for i in range(4)]
+    rows += [(20 + i, "http://c.example/", bare.format(1)) for i in range(9)]  # copies are one page: no template
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(frame).collect()}
+    for i in range(4):
+        want = f"T{i}\n\nSummary\n\nA passage in all articles.\n\ntext {i}"
+        assert got[i] == got[10 + i] == want
+    assert got[20] == got[28] == f"Our site\n\n{got[11]}"
+
+
 def test_wrapper_expression():
     found = wrappers.infer([page("a", "<p>x</p>"), page("b", "<p>y</p><p>z</p><ul><li>q</li></ul>")])
     assert "(<p>#</p>)+" in found["expression"] and "(<ul>" in found["expression"]
