@@ -422,6 +422,12 @@ def test_html_keeps_repeated_passages(spark):
     assert got[20] == got[28] == f"Our site\n\n{got[11]}"
 
 
+def test_html_without_article_keeps_title_and_lead():
+    post = "<div class=post><h1>Title</h1><div class=lead><p>lead</p></div><div class=text><p>a</p><p>b</p></div></div>"
+    links = "<div class=links><a href='/'>Home</a> <a href='/x'>More</a></div>"
+    assert wrappers.main_text(f"<body>{links}{post}</body>") == "Title\n\nlead\n\na\n\nb"
+
+
 def test_wrapper_expression():
     found = wrappers.infer([page("a", "<p>x</p>"), page("b", "<p>y</p><p>z</p><ul><li>q</li></ul>")])
     assert "(<p>#</p>)+" in found["expression"] and "(<ul>" in found["expression"]
