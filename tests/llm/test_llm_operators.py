@@ -152,6 +152,23 @@ def test_keep_one(spark, corpus):
     assert sorted(r.doc_id or -1 for r in made.collect()) == sorted(g or -1 for g in groups)
 
 
+def test_filters_decide_by_row(spark):
+    rng = random.Random(12)
+    texts = [". ".join(prose(rng, 12) for _ in range(4)) + "." for _ in range(10)]
+    rows = [(None, t) for t in texts[:5]] + [(7, t) for t in texts[5:]]
+    made = simhash.keep_one(documents(spark, [*rows, *rows[:2], (7, texts[0]), (7, texts[6])]))
+    assert sorted((r.doc_id or -1, r.text) for r in made.collect()) == sorted((i or -1, t) for i, t in rows)
+    item = prose(rng, 30)
+    docs = documents(spark, [*rows, (None, f"x {item} y"), (7, f"z {item}")])
+    left = decontaminate.clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(r.text for r in left.collect()) == sorted(texts)
+    known = [(100 + i, prose(rng, 9) + ". you vile thing" * (i % 2)) for i in range(400)]
+    docs = documents(spark, [*rows, *known, (None, "you vile thing"), (7, "you vile thing")])
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in known], "doc_id long, toxic int")
+    left = [r.text for r in toxicity.reject(docs, marks).collect() if r.doc_id in (None, 7)]
+    assert sorted(left) == sorted(texts)
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in graph.components(chain).collect()} == {0}

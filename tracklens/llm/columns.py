@@ -17,6 +17,11 @@ def ident(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A hash of id and text: tells rows of one id, or without an id, with different texts apart."""
+    return F.xxhash64(ident(id_col), F.col(text_col).cast("string"))
+
+
 def outward(column: str) -> Column:
     """The reverse of :func:`ident`."""
     return F.when(F.col(column) != F.lit(NO_ID), F.col(column))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.columns import ident, outward
+from tracklens.llm.columns import NO_ID, ident, outward, row_key
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -187,8 +187,7 @@ def contained_items(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document holds no benchmark item, with all their columns."""
-    hit = contained_items(docs, benchmark, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("dc_hit")
-    )
-    return docs.join(hit.distinct(), ident(id_col) == F.col("dc_hit"), "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    hit = contained_items(keyed, benchmark, "key").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("dc_hit"))
+    return docs.join(hit.distinct(), row_key(id_col, text_col) == F.col("dc_hit"), "left_anti")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.columns import NO_ID, ident, outward
+from tracklens.llm.columns import NO_ID, ident, outward, row_key
 from tracklens.llm.graph import components
 from tracklens.session import written
 
@@ -213,11 +213,15 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies, the one of the smallest id, with all its columns.
 
-    Rows that share the smallest id are repeated rows; one of them stays.
+    Rows without an id, or of one id, are rows of their own unless their texts are near copies. Of rows that share the
+    smallest id the one whose text has the smallest hash stays.
     """
-    groups = near_duplicates(docs, id_col, text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("sh_kept")
+    keyed = docs.withColumn("sh_key", row_key(id_col, text_col))
+    groups = near_duplicates(keyed.select("sh_key", F.col(text_col).alias("text")), "sh_key", "text").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("sh_key"), F.coalesce("component_id", F.lit(NO_ID)).alias("component")
     )
-    keyed = docs.withColumn("sh_key", ident(id_col)).dropDuplicates(["sh_key"])
-    return keyed.join(kept.distinct(), keyed.sh_key == F.col("sh_kept"), "left_semi").drop("sh_key")
+    ids = keyed.select("sh_key", ident(id_col).alias("did")).distinct()
+    first = ids.join(groups.distinct(), "sh_key").groupBy("component").agg(F.min(F.struct("did", "sh_key")).alias("first"))
+    kept = first.select(F.col("first.sh_key").alias("sh_kept"))
+    keyed = keyed.dropDuplicates(["sh_key"])
+    return keyed.join(kept, keyed.sh_key == F.col("sh_kept"), "left_semi").drop("sh_key")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.columns import NO_ID, ident, outward
+from tracklens.llm.columns import NO_ID, ident, outward, row_key
 from tracklens.session import written
 
 BITS = 18
@@ -229,7 +229,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` scoring under the threshold, all columns kept; repeated ids go by their largest score."""
-    scored = score(docs, train(docs, labels)).where(F.col("score") >= threshold)
+    """The rows of ``docs`` scoring under the threshold, all columns kept; each row goes by its own text."""
+    keyed = docs.select(row_key("doc_id", "text").alias("doc_id"), "text")
+    scored = score(keyed, train(docs, labels)).where(F.col("score") >= threshold)
     bad = scored.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("tx_bad")).distinct()
-    return docs.join(bad, ident("doc_id") == F.col("tx_bad"), "left_anti")
+    return docs.join(bad, row_key("doc_id", "text") == F.col("tx_bad"), "left_anti")
