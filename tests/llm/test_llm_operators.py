@@ -335,6 +335,16 @@ def test_neighbours(spark):
     assert sorted((r.query_id, r.rank) for r in few) == [(q, k) for q in range(3) for k in (1, 2)]
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((200, 8))
+    vectors[10:50] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors) for _ in range(20 if i == 10 else 3)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, F.col("vec_id").isin(0, 49)).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: (r.query_id, r.rank))] == [10, 11, 12, 13, 14, 0, 10, 11, 12, 13]
+
+
 # toxicity
 
 

@@ -223,9 +223,10 @@ def nearest(
     # of a vector's copies only the k + 1 smallest ids can be among the k best: cut within tasks and by parts first
     part = Window.partitionBy("h", "vec", F.pmod(F.xxhash64("vid"), F.lit(16))).orderBy("vid")
     whole = Window.partitionBy("h", "vec").orderBy("vid")
-    few = rows.select("h", "vec", "vid").withColumn("n", F.row_number().over(part)).where(F.col("n") <= 2 * k + 2)
-    few = few.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= 2 * k + 2)
-    entries = few.groupBy("h", "vec").agg(F.array_sort(F.array_distinct(F.collect_list("vid"))).alias("ids"))
+    few = rows.select("h", "vec", "vid").distinct()  # repeated rows take no id's place
+    few = few.withColumn("n", F.row_number().over(part)).where(F.col("n") <= k + 1)
+    few = few.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1)
+    entries = few.groupBy("h", "vec").agg(F.array_sort(F.collect_list("vid")).alias("ids"))
     indexed = written(projected(entries.select("ids", "vec"), size, dimensions), "projected")
     asked = projected(rows.where("asks").select("vid", "vec").distinct(), size, dimensions)
     asked = written(asked, "asked")
