@@ -482,3 +482,22 @@ def test_licences(spark, corpus):
     assert got[110].families == ",".join(sorted(said)) and got[110].n_licences == 4
     assert all(got[i].families == "" for i, _ in [*corpus, (111, "")])
     assert got[0].n_paragraphs == 1 and licences.scan(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_licences_within_lines(spark, corpus):
+    mit = next(t for t in licences.TEMPLATES["mit"] if t.endswith("conditions:"))
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    gpl += "License as published by the Free Software Foundation; either version %s of the License, or (at your option) any "
+    said = [
+        ("mit", f"{mit} The above copyright notice and this permission notice shall be included in all copies."),
+        ("mit", "All photographs were taken by the members of the club in the spring; the text is released under the MIT License."),
+        ("mit", "MIT License"),
+        ("apache-2.0,mit", "Licensed under the Apache License, Version 2.0. The rest is released under the MIT License."),
+        ("gpl-2.0", gpl % 2 + "later version."),
+        ("gpl-3.0", gpl % 3 + "later version."),
+        ("", "A license is required to sell food on the market, and permission of the owner to park a car."),
+    ]
+    rows = [*corpus, *[(200 + i, line) for i, (_, line) in enumerate(said)]]
+    got = {r.doc_id: r.families for r in licences.scan(documents(spark, rows)).collect()}
+    assert [got[200 + i] for i in range(len(said))] == [families for families, _ in said]
+    assert all(got[i] == "" for i, _ in corpus)
