@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_decontamination": "doc_id item_id",
     "op9_html_extraction": "page_id url text n_chars",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_token_files": "doc_id start n_tokens ids_crc32",
 }
 
 

@@ -12,11 +12,14 @@ from tracklens.llm import (
     decontaminate,
     licences,
     linededup,
+    merkle,
     neighbours,
     packing,
     simhash,
     suffixes,
+    tokenfiles,
     toxicity,
+    whitening,
     wrappers,
 )
 from tracklens.session import ship_package
@@ -163,3 +166,81 @@ def op1(table) -> DataFrame:
 @query("op7_licences")
 def op7(table) -> DataFrame:
     return licences.scan(table("documents"))
+
+
+@query("op11_whitening")
+def op11(table) -> DataFrame:
+    whitened = whitening.whiten(table("embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))  # NULL past the range of a long
+
+
+@query(
+    "op12_merkle",
+    """
+    WITH RECURSIVE fields AS (
+        SELECT doc_id, lang, n_chars,
+               coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+               coalesce(strlen(text) || ':' || text, '-') AS tail,
+               list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+                                                                   lambda c: ord(c)::UBIGINT),
+                   lambda crc, byte: list_reduce(
+                       [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+                       lambda x, _: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))) AS crc
+        FROM documents
+    ), hashed AS (
+        SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+               CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0 AND n_chars IS NOT NULL
+                    THEN sha256(head || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) || tail) END AS tampered
+        FROM fields
+    ), leaves AS (
+        SELECT *, coalesce('v' || lang, '') AS k,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+        FROM hashed
+    ), levels AS (
+        SELECT k, pos, leaf AS h, count(*) OVER (PARTITION BY k) AS n, 0 AS level FROM leaves
+        UNION ALL
+        SELECT k, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2, level + 1
+        FROM levels WHERE n > 1 GROUP BY k, pos // 2, n, level
+    ), subroots AS (
+        SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS place FROM levels WHERE n = 1
+    ), tops AS (
+        SELECT place AS pos, h, count(*) OVER () AS n, 0 AS level FROM subroots
+        UNION ALL
+        SELECT pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2, level + 1
+        FROM tops WHERE n > 1 GROUP BY pos // 2, n, level
+    ), steps AS (
+        SELECT l.k, l.pos, own.level AS step, CASE WHEN own.pos % 2 = 1 THEN near.h END AS a,
+               CASE WHEN own.pos % 2 = 0 THEN near.h END AS b
+        FROM leaves l JOIN levels own ON own.k = l.k AND own.pos = l.pos >> own.level AND own.n > 1
+        LEFT JOIN levels near ON near.k = own.k AND near.level = own.level AND near.pos = xor(own.pos, 1)
+        UNION ALL
+        SELECT l.k, l.pos, 1000 + own.level, CASE WHEN own.pos % 2 = 1 THEN near.h END,
+               CASE WHEN own.pos % 2 = 0 THEN near.h END
+        FROM leaves l JOIN subroots s ON s.k = l.k JOIN tops own ON own.pos = s.place >> own.level AND own.n > 1
+        LEFT JOIN tops near ON near.level = own.level AND near.pos = xor(own.pos, 1)
+    ), paths AS (
+        SELECT k, pos, sha256(string_agg(coalesce(a, '') || coalesce(b, ''), '' ORDER BY step)) AS proof_sha256,
+               list(coalesce(a, '') ORDER BY step) AS lefts, list(coalesce(b, '') ORDER BY step) AS rights
+        FROM steps GROUP BY k, pos
+    ), folds AS (
+        SELECT k, pos, coalesce(tampered, leaf) AS h, 0 AS done FROM leaves
+        UNION ALL
+        SELECT f.k, f.pos, sha256(p.lefts[done + 1] || f.h || p.rights[done + 1]), done + 1
+        FROM folds f JOIN paths p USING (k, pos) WHERE done < len(p.lefts)
+    )
+    SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+           f.h AS folded_root, f.h = r.h AS verified
+    FROM leaves l JOIN subroots s USING (k) LEFT JOIN paths p USING (k, pos)
+    JOIN folds f ON f.k = l.k AND f.pos = l.pos AND f.done = coalesce(len(p.lefts), 0)
+    JOIN tops r ON r.n = 1
+    """,
+)
+def op12(table) -> DataFrame:
+    return merkle.document_manifest(table("documents"))
+
+
+@query("op13_token_files")
+def op13(table) -> DataFrame:
+    return tokenfiles.round_trip(table("documents"))
