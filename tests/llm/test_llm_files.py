@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import zlib
+from itertools import product
 
 import numpy as np
 import pytest
@@ -184,7 +185,7 @@ def huffman_cost(counts):
 @pytest.mark.parametrize("n, limit", [(1, 18), (2, 18), (3, 2), (5000, 25), (300, 9)])
 def test_codes_round_trip(n, limit):
     rng = np.random.default_rng(n)
-    counts = rng.integers(1, 1000, n) ** 2
+    counts = rng.integers(30, 1000, n) ** 2  # so even that no code is over 25 bits unless limited
     lengths = huffman.code_lengths(counts, limit)
     assert lengths.max() <= limit and (n == 1 or sum(2.0 ** -lengths.astype(float)) == 1)
     cost = int((counts * lengths).sum())
@@ -195,6 +196,14 @@ def test_codes_round_trip(n, limit):
     assert all(np.array_equal(a, b) for a, b in zip(blocks, made, strict=True))
 
 
+def test_limited_codes_are_the_best():
+    rng = np.random.default_rng(9)
+    for n in (3, 5, 6):
+        counts = rng.integers(1, 200, n)
+        fits = [k for k in product(range(1, 4), repeat=n) if sum(2.0**-x for x in k) <= 1]
+        assert (counts * huffman.code_lengths(counts, 3)).sum() == min((counts * k).sum() for k in map(np.array, fits))
+
+
 def test_codes_are_canonical_and_limited():
     lengths = huffman.code_lengths(np.array([1, 0, 1, 2, 4, 8, 16, 32]), 4)
     assert lengths[1] == 0 and lengths.max() == 4
