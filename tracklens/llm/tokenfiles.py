@@ -31,7 +31,7 @@ BLOCK_IDS = 65_536
 FILE_IDS = 4_000_000
 MAX_FILES = 20_000
 CACHE_BYTES = 96_000_000
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 3_000_000
 POLYNOMIAL = 0xEDB88320
 
 
@@ -45,52 +45,88 @@ class ChunkEncoder:
     """Texts to ids of a byte-level BPE, each distinct chunk encoded once while it is remembered.
 
     A space before a visible character always begins a new piece of this pre-tokenizer, so what lies between two such
-    spaces can be encoded alone. Texts holding an added token's string are encoded whole. What is remembered is
-    bounded by ``CACHE_BYTES`` and forgotten at once when full; it lives as long as its task.
+    spaces can be encoded alone. A chunk of Latin letters, with one mark after it or none, is one piece or two; pieces
+    go to the model many at a time, without the pre-tokenizer, and are told apart by their lengths in bytes. Any other chunk goes
+    through the whole tokenizer, and so does a whole text that holds an added token's string. What is remembered is bounded by
+    ``CACHE_BYTES``, in two generations of which the older is forgotten when the newer is full; it lives as long as its task.
     """
 
+    MARKS = frozenset(".,;:!?)\"")
+
     def __init__(self, path: str, end: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = re.compile("|".join(re.escape(a.content) for a in added)) if added else None
         self.end = np.array([end], self.kind).tobytes()
         self.blank_next = re.compile(r" (?:\s|\Z)")
         self.before_visible = re.compile(r" (?=\S)")
-        mark = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.latin = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
+        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in visible]
+        # the byte alphabet: visible bytes stand for themselves, the others follow from 256 on
+        self.alphabet = {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.marks = dict(zip(sorted(self.MARKS), self._whole(sorted(self.MARKS)), strict=True))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bytes = 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in made]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks, each after its space. Those without white space go many at a time, line ends between them."""
-        if self.bytes > CACHE_BYTES:
-            self.known, self.bytes = {}, 0
-        new = list(chunks - self.known.keys())
-        plain = [c for c in new if c.split() == [c]] if self.mark is not None else []
-        other = set(new).difference(plain) if len(plain) < len(new) else ()
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = self.tokenizer.encode(" " + "\n ".join(part) + "\n", add_special_tokens=False).ids
-            ids = np.array(ids, self.kind)
-            ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(part):
-                raise ValueError("chunks and line ends of the tokenizer do not agree")
+    def _pieces(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, each after its space."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 1000):
+            part = [(" " + w).encode().decode("latin-1").translate(self.alphabet) for w in words[at : at + 1000]]
+            ids = np.array(self.model.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            reached, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+            ends = np.searchsorted(reached, wanted)
+            if not np.array_equal(reached[ends], wanted):
+                raise ValueError("the model's tokens do not cover the words given to it")
             raw, width, start = ids.tobytes(), self.kind.itemsize, 0
-            for chunk, stop in zip(part, (ends * width).tolist(), strict=True):
-                self.known[chunk] = raw[start:stop]
-                start = stop + width
-            self.bytes += len(raw) + sum(map(len, part)) + 160 * len(part)
-        other = list(other)
-        for chunk, found in zip(other, self._whole([" " + c for c in other]), strict=True):
-            self.known[chunk] = found
-            self.bytes += len(chunk) + len(found) + 160
+            for stop in ((ends + 1) * width).tolist():
+                out.append(raw[start:stop])
+                start = stop
+        return out
+
+    def _remember(self, chunk: str, ids: bytes) -> None:
+        self.known[chunk] = ids
+        self.bytes += len(chunk) + len(ids) + 160
+
+    def _learn(self, chunks: set[str]) -> None:
+        """See that every chunk is known."""
+        if self.bytes > CACHE_BYTES // 2:
+            self.older, self.known, self.bytes = self.known, {}, 0
+        words: dict[str, list[str]] = {}
+        other: list[str] = []
+        for chunk in chunks - self.known.keys():
+            if (found := self.older.get(chunk)) is not None:
+                self._remember(chunk, found)
+                continue
+            word = chunk if chunk.isalpha() else chunk[:-1]
+            plain = word.isalpha() and (word is chunk or chunk[-1] in self.MARKS)
+            if plain and (word.isascii() or self.latin.fullmatch(word)):
+                words.setdefault(word, []).append(chunk)
+            else:
+                other.append(chunk)
+        new = [w for w in words if w not in self.known]
+        made = dict(zip(new, self._pieces(new), strict=True))
+        for word, held in words.items():
+            ids = made[word] if word in made else self.known[word]
+            for chunk in held:
+                self._remember(chunk, ids if chunk == word else ids + self.marks[chunk[-1]])
+        for chunk, ids in zip(other, self._whole([" " + c for c in other]), strict=True):
+            self._remember(chunk, ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split: list[list[str] | None] = []
