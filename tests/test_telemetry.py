@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import Window as W
@@ -6,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tracklens import dims
 from tracklens.operators import telemetry as T
-from tracklens.operators.ordered import running
-from tracklens.operators.ramp import ramp_limit, step
+from tracklens.operators.ordered import SLICE, running, slices
+from tracklens.operators.ramp import Rising, ramp_limit, step
 from tracklens.plans import recording
 from tracklens.plans.setpoint_chain import setpoint_chain
 from tracklens.workload import telemetry as WT
@@ -74,16 +76,63 @@ def test_running_equals_plain_windows(skewed, rows):
 
 
 def test_running_cuts_a_hot_key_into_slices(skewed):
-    from tracklens.operators.ordered import SLICE, slices
-
-    cut = slices(skewed, ["device"], "ts", rows=60)
+    cut = slices(skewed, ["device"], T.ORDER, rows=60)
     sizes = {(r.device, r[SLICE]): r["count"] for r in cut.groupBy("device", SLICE).count().collect()}
     hot = [n for (device, _), n in sizes.items() if device == 1]
-    assert len(hot) > 4 and sorted(hot)[-2] < sum(hot) / 4  # the largest slice holds the rows of one instant
+    assert len(hot) > 4 and max(hot) == 60  # rows of one instant are cut by their ids
     small = {r.device for r in skewed.groupBy("device").count().filter("count <= 60").collect()}
     assert small and all(number == 0 for device, number in sizes if device in small)
 
 
+@pytest.mark.parametrize("rows, most", [(60, 60), (200, 400)])
+@pytest.mark.parametrize("same_time", [False, True])
+def test_a_burst_is_cut_by_counts(spark, rows, most, same_time):
+    """2,000 rows of which 1,990 lie within two seconds, or at one instant; by samples where a slice has many rows."""
+    seconds = F.lit(0.0) if same_time else F.when(F.col("id") < 1990, F.col("id") / 1000).otherwise(F.col("id") * 1000)
+    burst = spark.range(2000).select(
+        F.lit(1).alias("device"), F.timestamp_seconds(seconds).alias("ts"), F.col("id").alias("event_id")
+    )
+    sizes = slices(burst, ["device"], T.ORDER, rows).groupBy(SLICE).count()
+    counted = sizes.agg(F.max("count").alias("most"), F.count("*").alias("n")).first()
+    assert counted.most <= most and counted.n >= 2000 // most
+    total = running(burst, ["device"], T.ORDER, {"n": ("total", F.lit(1))}, rows)
+    assert total.filter(F.col("n") != F.col("event_id") + 1).count() == 0
+
+
+def test_exact_totals_do_not_depend_on_slices(skewed):
+    """Bit for bit, with values that a plain sum rounds, and with infinities."""
+    v = F.col("sp") / 7 * F.pow(F.lit(10.0), F.col("event_id") % 15 - 7) * F.when(F.col("event_id") % 2 == 0, -1).otherwise(1)
+    df = skewed.select("device", "ts", "event_id", v.alias("v"))
+
+    def totals(df, rows):
+        out = running(df, ["device"], T.ORDER, {"t": ("exact_total", F.col("v"))}, rows)
+        return {r.event_id: r.t for r in out.select("event_id", "t").collect()}
+
+    whole = totals(df, 1_000_000)
+    assert totals(df, 10) == totals(df, 1000) == whole
+    series = {}
+    for r in sorted(df.collect(), key=lambda r: (r.ts is not None, r.ts or T0, r.event_id)):
+        series.setdefault(r.device, []).append(r)
+    for rows in series.values():
+        upto = [r.v for r in rows]
+        for k in (0, len(rows) // 2, len(rows) - 1):
+            assert whole[rows[k].event_id] == pytest.approx(math.fsum(upto[: k + 1]), rel=4e-16, abs=1e-25)
+    odd = df.withColumn("v", F.when(F.col("event_id") % 40 == 5, F.lit(float("inf"))).when(F.col("event_id") % 50 != 1, F.col("v")))
+    plain = running(odd, ["device"], T.ORDER, {"t": ("total", F.col("v"))})
+    expected = {r.event_id: r.t for r in plain.collect()}
+    got = totals(odd, 15)
+    assert all(got[i] == (pytest.approx(t, rel=1e-9) if t is not None else None) for i, t in expected.items())
+
+
+def test_error_integral_is_the_same_bits_for_any_slices(skewed):
+    df = skewed.select("device", "ts", "event_id", ((F.col("sp") - F.col("out")) / 3).alias("err"))
+
+    def integral(rows):
+        return {r.event_id: r.integral for r in T.error_integral(df, 20, rows=rows).collect()}
+
+    assert integral(10) == integral(1000) == integral(1_000_000)
+
+
 @pytest.mark.parametrize(
     "op",
     [
@@ -131,6 +180,40 @@ def test_ramp_in_slices_equals_one_recursion(skewed, rate, rows):
     assert got == pytest.approx(expected, abs=1e-9)
 
 
+def test_a_dense_slow_ramp_runs_in_slices(spark):
+    """No slice forgets its start: the target crosses the command all the time, in steps far below the range."""
+    df = spark.range(4000).select(
+        F.lit(1).alias("device"),
+        F.timestamp_micros(F.col("id") * 1000).alias("ts"),
+        F.col("id").alias("event_id"),
+        (50 + 50 * F.sin(F.col("id") * 1.7) * F.sin(F.col("id") * 0.013)).alias("sp"),
+    )
+    cmd, expected = 0.0, []
+    for k, r in enumerate(df.orderBy("event_id").collect()):
+        cmd = step(cmd, r.sp, 2.0 * 0.001 if k else 0.0)
+        expected.append(cmd)
+    made = ramp_limit(df, 2.0, rows=200)
+    assert [r.cmd for r in made.orderBy("event_id").collect()] == pytest.approx(expected, abs=1e-9)
+    assert slices(df, ["device"], T.ORDER, 200).select(SLICE).distinct().count() >= 10
+
+
+def test_transfer_maps():
+    rng = random.Random(3)
+    for high in (10.0, 100.0) * 20:
+        map_, low, top = Rising(0.0, high), 0.0, high
+        map_.BLOCK = 4
+        starts = [high * k / 50 for k in range(51)]
+        ends = list(starts)
+        for _ in range(rng.choice([5, 50, 300])):
+            want, limit = rng.uniform(0, high), rng.choice([0.0, rng.uniform(0, 0.05), rng.uniform(0, 1)])
+            if limit and low != top and want + limit > low and want - limit < top:
+                map_.take(want - limit - low, want + limit - low)
+            low, top = step(low, want, limit), step(top, want, limit)
+            ends = [step(e, want, limit) for e in ends]
+        got = [low + sum(min(max(x - s, 0), n) for s, n in map_.stretches()) for x in starts]
+        assert got == pytest.approx(ends, abs=1e-9)
+
+
 def test_ramp_never_exceeds_its_rate(tables):
     rate = 0.0003
     out = ramp_limit(tables.telemetry.select("device", "ts", "event_id", "sp"), rate)

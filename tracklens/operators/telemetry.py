@@ -184,7 +184,7 @@ def adaptive_limit(
     responsive row ends it. ``limit``, where there is one, is lowered to the cap.
     """
     keys = list(keys)
-    sliced = slices(df, keys, "ts", rows).withColumn("_counts", controllable())
+    sliced = slices(df, keys, ORDER, rows).withColumn("_counts", controllable())
     state = F.when(F.col("_counts"), F.col("responsive"))
     lagged = running(sliced, keys, ORDER, {"_was": ("last_before", state)}, rows)
     stuck = F.col("_counts") & ~F.col("responsive")
@@ -241,12 +241,12 @@ def missed(df: DataFrame, period_s: float, keys: tuple[str, ...] = ("device",),
 def error_integral(
     df: DataFrame, db: float, keys: tuple[str, ...] = ("device",), rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Running sum of error times elapsed seconds, counted only outside the deadband."""
+    """Running sum of error times elapsed seconds, counted only outside the deadband; added exactly, rounded once."""
     keys = list(keys)
-    timed = running(slices(df, keys, "ts", rows), keys, ORDER, {"_before": ("previous", F.col("ts"))}, rows)
+    timed = running(slices(df, keys, ORDER, rows), keys, ORDER, {"_before": ("previous", F.col("ts"))}, rows)
     dt = F.coalesce(seconds_between(F.col("_before"), F.col("ts")), F.lit(0.0))
     part = F.when(F.abs("err") >= db, F.col("err") * dt).otherwise(0.0)
-    summed = running(timed.withColumn("_part", part), keys, ORDER, {"integral": ("total", F.col("_part"))}, rows)
+    summed = running(timed.withColumn("_part", part), keys, ORDER, {"integral": ("exact_total", F.col("_part"))}, rows)
     return drop_slices(summed.drop("_before", "_part"))
 
 
@@ -293,8 +293,8 @@ def align(
         )
     )
     given = F.when(F.col("_side") == 0, F.struct("ts", "command"))
-    sliced = slices(both, keys, "ts", rows)
-    carried = running(sliced, keys, ["ts", "_side", "event_id", "command"], {"_cmd": ("last", given)}, rows)
+    order = ["ts", "_side", "event_id", "command"]
+    carried = running(slices(both, keys, order, rows), keys, order, {"_cmd": ("last", given)}, rows)
     fresh = seconds_between(F.col("_cmd.ts"), F.col("ts")) <= tolerance_s
     found = carried.filter(F.col("_side") == 1).withColumns(
         {
@@ -318,7 +318,7 @@ def response_ok(
     Every row carries the step it follows, so a step ends where the next begins and one aggregate decides.
     """
     keys = list(keys)
-    lagged = running(slices(df, keys, "ts", rows), keys, ORDER, {"_sp": ("previous", F.col("sp"))}, rows)
+    lagged = running(slices(df, keys, ORDER, rows), keys, ORDER, {"_sp": ("previous", F.col("sp"))}, rows)
     is_step = (F.col("_sp") <= low) & (F.col("sp") >= high)
     step = F.when(is_step, F.struct(F.col("ts").alias("step_ts"), F.col("sp").alias("target")))
     carried = drop_slices(running(lagged, keys, ORDER, {"_step": ("last", step)}, rows))

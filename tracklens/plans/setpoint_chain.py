@@ -35,7 +35,7 @@ def setpoint_chain(df: DataFrame, p: ChainParams, rows: int = SLICE_ROWS) -> Dat
     measured = T.adaptive_limit(df, p.delay, rows=rows).withColumn("period", T.bucket(F.col("ts"), p.period))
     sums = T.available(df.withColumn("period", T.bucket(F.col("ts"), p.period)), ["plant", "period"])
     active = F.when(F.col("source") == p.active, F.col("sp"))
-    held = running(slices(measured, plant, "ts", rows), plant, T.ORDER, {"setpoint": ("last", active)}, rows)
+    held = running(slices(measured, plant, T.ORDER, rows), plant, T.ORDER, {"setpoint": ("last", active)}, rows)
     wanted = F.coalesce("setpoint", F.lit(0.0)) + T.frequency_delta(F.col("hz"), p.db_hz, p.droop)
     final = written(held.withColumn("final", F.least(wanted, F.lit(p.limit))), "setpoint-chain")
     ramped = drop_slices(ramp_limit(final, p.rate, keys=("plant",), want="final", rows=rows))
