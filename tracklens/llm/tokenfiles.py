@@ -13,8 +13,10 @@ Ids are counted over the whole corpus, one row per vocabulary entry and task; th
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -41,6 +43,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@lru_cache(maxsize=1)
+def _tokenizers(path: str):
+    """The tokenizer, and its model with line ends between words in place of the pre-tokenizer; one thread, as Spark has the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole = Tokenizer.from_file(path)
+    model = Tokenizer(whole.model)
+    model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+    vocabulary = whole.get_vocab()
+    sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+    for token, i in vocabulary.items():
+        sizes[i] = len(token)
+    return whole, model, sizes
+
+
 class ChunkEncoder:
     """Texts to ids of a byte-level BPE, each distinct chunk encoded once while it is remembered.
 
@@ -54,16 +72,8 @@ class ChunkEncoder:
     MARKS = frozenset(".,;:!?)\"")
 
     def __init__(self, path: str, end: int):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.model, self.sizes = _tokenizers(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.model = Tokenizer(self.tokenizer.model)
-        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
-        vocabulary = self.tokenizer.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-        for token, i in vocabulary.items():
-            self.sizes[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = re.compile("|".join(re.escape(a.content) for a in added)) if added else None
         self.end = np.array([end], self.kind).tobytes()
@@ -208,10 +218,8 @@ def write_ids(
     NULL ids come first; rows of one id follow a hash of their ids. A NULL or empty text is the end id alone. Repeated rows are
     written each. An empty table writes no block. Other columns of the input are ignored.
     """
-    from tokenizers import Tokenizer
-
     path = path or tokenizer_path()
-    size = Tokenizer.from_file(path).get_vocab_size()
+    size = _tokenizers(path)[0].get_vocab_size()
     kind = "<u2" if size <= 1 << 16 else "<u4"
     spark = docs.sparkSession
     # the row's number splits even repeated rows between files
