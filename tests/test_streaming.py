@@ -56,6 +56,71 @@ def test_late_rows_are_dropped_and_counted(spark, tel):
     assert 0 < counted <= dropped
 
 
+def followed(tel, lateness="12 hours"):
+    """The rows whose bucket the last watermark has passed."""
+    from tracklens.streaming.series import micros_of
+
+    late = micros_of(lateness)
+    latest = tel.agg(F.max(T.micros(F.col("ts")))).first()[0]
+    end = (latest // 1000 - late // 1000) * 1000 // (late // 16) * (late // 16)
+    return tel.filter(F.col("ts").isNotNull() & (T.micros(F.col("ts")) < end))
+
+
+@pytest.mark.parametrize("chunk", [10_000, 7])
+def test_rows_within_the_lateness_are_put_in_order(spark, tel, chunk):
+    """Shuffled over micro-batches by up to a day: the same as the batch operators, whatever the chunks rows are read in."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", chunk)
+    try:
+        moved = tel.withColumn("arrival", (T.micros(F.col("ts")) + F.xxhash64("event_id") % 43_200_000_000).cast("double"))
+        stream = as_stream(spark, moved, "arrival", batches=4).drop("arrival")
+        out = read(spark, stateful.stream_ramp(stream, 0.0005, lateness="1 day"))
+        twin = ramp_limit(tel, 0.0005).join(followed(tel, "1 day").select("event_id"), "event_id", "left_semi")
+        same(out.select("device", "event_id", "cmd"), twin.select("device", "event_id", "cmd"))
+        assert out.filter("is_late").count() == 0
+        out = read(spark, stateful.stream_adaptive(stream, 12 * HOUR, lateness="1 day"))
+        cols = ["device", "event_id", "clamped", "adaptive"]
+        twin = T.adaptive_limit(tel, 12 * HOUR).join(followed(tel, "1 day").select("event_id"), "event_id", "left_semi")
+        same(out.select(cols), twin.select(cols))
+        # at once, a batch of many chunks waits in state and is followed bucket by bucket
+        out = read(spark, stateful.stream_ramp(as_stream(spark, tel, "event_id", batches=2), 0.0005))
+        same(out.select("device", "event_id", "cmd"), ramp_limit(tel, 0.0005).select("device", "event_id", "cmd"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_late_rows_come_out_as_rows(spark, tel):
+    held = tel.withColumn("late_one", F.col("event_id") % 25 == 0)
+    arrival = F.when(F.col("late_one"), F.lit(float(2**60))).otherwise(T.micros(F.col("ts")).cast("double"))
+    stream = as_stream(spark, held.withColumn("arrival", arrival), "arrival", batches=4).drop("arrival", "late_one")
+    out = read(spark, stateful.stream_ramp(stream, 0.0005, lateness="12 hours")).persist()
+    late = {r.event_id for r in out.filter("is_late").collect()}
+    assert late and all(i % 25 == 0 for i in late)
+    assert out.filter("is_late AND cmd IS NOT NULL").count() == 0
+    counted = out.groupBy("device").agg(F.max("late").alias("late")).agg(F.sum("late")).first()[0]
+    assert counted == len(late) and out.count() == out.select("event_id").distinct().count()
+    rest = tel.filter(~F.col("event_id").isin(list(late)))
+    twin = ramp_limit(rest, 0.0005).join(followed(tel).select("event_id"), "event_id", "left_semi")
+    same(out.filter("NOT is_late").select("device", "event_id", "cmd"), twin.select("device", "event_id", "cmd"))
+
+
+def test_the_state_of_a_silent_device_leaves(spark):
+    """Device 1 is silent for long enough while device 2 moves the watermark on; back again, it starts at 0."""
+    rows = [(1, i, i) for i in range(3)] + [(2, 10 + i, 100 * i) for i in range(20)] + [(1, 50 + i, 5000 + i) for i in range(3)]
+    rows += [(2, 60, 9000)]
+    df = spark.createDataFrame(rows, "device LONG, event_id LONG, s LONG").selectExpr(
+        "device", "event_id", "100.0D AS sp", "CAST(timestamp_seconds(1704067200 + s) AS TIMESTAMP_NTZ) AS ts", "s"
+    )
+    stream = as_stream(spark, df, "s", batches=6).drop("s")
+    kept = read(spark, stateful.stream_ramp(stream, 1.0, lateness="10 seconds"))
+    gone = read(spark, stateful.stream_ramp(stream, 1.0, lateness="10 seconds", idle_s=300))
+
+    def commands(out):
+        return [r.cmd for r in out.filter("device = 1 AND event_id >= 50").orderBy("event_id").collect()]
+
+    assert commands(kept) == [100.0, 100.0, 100.0] and commands(gone) == [0.0, 1.0, 2.0]
+
+
 def test_windows_equal_batch_once_closed(spark, tel):
     latest = tel.agg(F.max("ts")).first()[0]
     closed = F.lit(latest).cast("timestamp_ntz") - F.expr("INTERVAL 12 HOURS")

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklens.streaming.series import state_provider
+
 
 def append_to(stream: DataFrame, path: str) -> str:
     """Run everything available into Parquet files (append mode; exactly once through the file sink's log)."""
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/data")
-        .option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_provider(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{path}/data")
+            .option("checkpointLocation", f"{path}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return f"{path}/data"
 

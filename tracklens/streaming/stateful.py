@@ -1,72 +1,66 @@
 """Streams with state of their own per series: ramp limit, stuck-device cap, heartbeat alarm.
 
-Each keeps a few numbers per series. Within a micro-batch a series' rows are put in order first; a row
-older than the last one already processed is dropped and counted; a row without a time holds what is known,
-and a missing target holds the command. The source's trigger limits
-(such as ``maxFilesPerTrigger``) bound how many rows one series can bring in one batch.
+Each keeps a few numbers per series, by :mod:`tracklens.streaming.series`. Without a ``lateness`` a micro-batch is followed
+at once: a row older than the last one followed is dropped and counted in ``late``. With one, rows wait until the watermark has
+passed them, so the result is that of the batch operator whatever the order of arrival within the lateness; a row that comes later
+still is a row of the result with ``is_late`` and no value. A row without a time holds what is known, and a missing target
+holds the command. With ``idle_s`` the state of a series that has been silent so long leaves; if it comes back it starts anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tracklens.operators.ramp import step
 from tracklens.operators.telemetry import controllable, micros
+from tracklens.streaming.series import Series, by_series, watermarked
 
 
-def _ordered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(batches), ignore_index=True).sort_values(["us", "event_id"], kind="stable", na_position="first")
-
-
-def _rows(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns)
-
+class Ramp(Series):
+    STATE = "last BIGINT, cmd DOUBLE, late BIGINT"
+    START = (None, 0.0, 0)
+    COLUMNS = ["device", "us", "event_id", "cmd", "late", "is_late"]
 
-def stream_ramp(sdf: DataFrame, rate: float, want: str = "sp") -> DataFrame:
-    """The ramped command per device: state is the command, the last time, and the late rows so far."""
+    def __init__(self, rate: float, lateness: str | None, idle_s: float | None):
+        super().__init__(lateness, idle_s)
+        self.rate = rate
 
-    def follow(key, batches, state: GroupState):
-        cmd, last, late = state.get if state.exists else (0.0, None, 0)
+    def follow(self, key, state, rows):
+        last, cmd, late = state
         out = []
-        for r in _ordered(batches).itertuples(index=False):
+        for r in rows.itertuples(index=False):
             timed = not pd.isna(r.us)
             if timed and last is not None and r.us < last:
                 late += 1
                 continue
-            limit = rate * ((r.us - last) / 1_000_000.0) if timed and last is not None else 0.0
+            limit = self.rate * ((r.us - last) / 1_000_000.0) if timed and last is not None else 0.0
             if not pd.isna(r.want):
-                cmd = step(cmd, r.want, limit) if rate > 0 else r.want
+                cmd = step(cmd, r.want, limit) if self.rate > 0 else r.want
             last = int(r.us) if timed else last
-            out.append((key[0], r.us if timed else None, r.event_id, cmd, late))
-        state.update((cmd, last, late))
-        yield _rows(out, ["device", "us", "event_id", "cmd", "late"])
-
-    rows = sdf.select("device", micros(F.col("ts")).alias("us"), "event_id", F.col(want).cast("double").alias("want"))
-    return _as_time(
-        rows.groupBy("device").applyInPandasWithState(
-            follow,
-            "device BIGINT, us BIGINT, event_id BIGINT, cmd DOUBLE, late BIGINT",
-            "cmd DOUBLE, last BIGINT, late BIGINT",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+            out.append((key[0], r.us if timed else None, r.event_id, cmd, late, False))
+        return (last, float(cmd), late), out
 
+    def late(self, key, state, rows):
+        return [(key[0], r.us, r.event_id, None, state[-1], True) for r in rows.itertuples(index=False)]
 
-def stream_adaptive(sdf: DataFrame, delay: float, factor: float = 1.15) -> DataFrame:
-    """The stuck-device cap per device: state is when it stopped responding, the last time, and the late rows so far."""
 
-    def watch(key, batches, state: GroupState):
-        since, last, late = state.get if state.exists else (None, None, 0)
+class Adaptive(Series):
+    STATE = "last BIGINT, since BIGINT, late BIGINT"
+    START = (None, None, 0)
+    COLUMNS = ["device", "us", "event_id", "clamped", "adaptive", "late", "is_late"]
+
+    def __init__(self, delay: float, factor: float, lateness: str | None, idle_s: float | None):
+        super().__init__(lateness, idle_s)
+        self.delay, self.factor = delay, factor
+
+    def follow(self, key, state, rows):
+        last, since, late = state
         out = []
-        for r in _ordered(batches).itertuples(index=False):
+        for r in rows.itertuples(index=False):
             if pd.isna(r.us):
-                out.append((key[0], None, r.event_id, False, None, late))
+                out.append((key[0], None, r.event_id, False, None, late, False))
                 continue
             if last is not None and r.us < last:
                 late += 1
@@ -77,71 +71,77 @@ def stream_adaptive(sdf: DataFrame, delay: float, factor: float = 1.15) -> DataF
                 since = None
             elif r.counts:
                 since = last if since is None else since
-                clamped = (r.us - since) / 1_000_000.0 >= delay
-            out.append((key[0], r.us, r.event_id, clamped, r.out * factor if clamped else None, late))
-        state.update((since, last, late))
-        yield _rows(out, ["device", "us", "event_id", "clamped", "adaptive", "late"])
+                clamped = (r.us - since) / 1_000_000.0 >= self.delay
+            out.append((key[0], r.us, r.event_id, clamped, r.out * self.factor if clamped else None, late, False))
+        return (last, since, late), out
 
-    rows = sdf.select(
-        "device", micros(F.col("ts")).alias("us"), "event_id", "out", "responsive", controllable().alias("counts")
+    def late(self, key, state, rows):
+        return [(key[0], r.us, r.event_id, None, None, state[-1], True) for r in rows.itertuples(index=False)]
+
+
+class Heartbeat(Series):
+    STATE = "last BIGINT, late BIGINT"
+    START = (None, 0)
+    COLUMNS = ["device", "since_us", "seen_us", "missed", "late"]
+
+    def __init__(self, period_s: float):
+        super().__init__(None, 2 * period_s)
+        self.period = int(period_s * 1_000_000)
+
+    def follow(self, key, state, rows):
+        last, late = state
+        out = []
+        for r in rows.itertuples(index=False):
+            if pd.isna(r.us):
+                continue
+            if last is not None and r.us < last:
+                late += 1
+                continue
+            if last is not None and (r.us - last) // self.period - 1 > 0:
+                out.append((key[0], last, r.us, (r.us - last) // self.period - 1, late))
+            last = int(r.us)
+        return (last, late), out
+
+    def silent(self, key, state):
+        return [(key[0], state[0], None, 1, state[-1])]
+
+
+def stream_ramp(
+    sdf: DataFrame, rate: float, want: str = "sp", lateness: str | None = None, idle_s: float | None = None
+) -> DataFrame:
+    """The ramped command per device: state is the command, the last time, and the late rows so far."""
+    rows = watermarked(sdf, lateness).select(
+        "device", micros(F.col("ts")).alias("us"), "event_id", F.col(want).cast("double").alias("want")
     )
-    return _as_time(
-        rows.groupBy("device").applyInPandasWithState(
-            watch,
-            "device BIGINT, us BIGINT, event_id BIGINT, clamped BOOLEAN, adaptive DOUBLE, late BIGINT",
-            "since BIGINT, last BIGINT, late BIGINT",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
+    schema = "device BIGINT, us BIGINT, event_id BIGINT, cmd DOUBLE, late BIGINT, is_late BOOLEAN"
+    return _as_time(by_series(rows, Ramp(rate, lateness, idle_s), schema, lateness))
+
+
+def stream_adaptive(
+    sdf: DataFrame, delay: float, factor: float = 1.15, lateness: str | None = None, idle_s: float | None = None
+) -> DataFrame:
+    """The stuck-device cap per device: state is when it stopped responding, the last time, and the late rows so far."""
+    rows = watermarked(sdf, lateness).select(
+        "device", micros(F.col("ts")).alias("us"), "event_id", "out", "responsive", controllable().alias("counts")
     )
+    schema = "device BIGINT, us BIGINT, event_id BIGINT, clamped BOOLEAN, adaptive DOUBLE, late BIGINT, is_late BOOLEAN"
+    return _as_time(by_series(rows, Adaptive(delay, factor, lateness, idle_s), schema, lateness))
 
 
 def stream_heartbeat(sdf: DataFrame, period_s: float, lateness: str) -> DataFrame:
     """Missed heartbeats: one row per gap that swallowed arrivals, and one when a device falls silent.
 
-    ``seen_us`` is NULL while the device is still silent: that row comes from the event-time timeout.
+    ``seen`` is NULL while the device is still silent: that row comes from the event-time timer, and the device's state leaves.
+    ``late`` counts the rows that came after a later one and were passed over.
     """
-    period = int(period_s * 1_000_000)
-
-    def watch(key, batches, state: GroupState):
-        columns = ["device", "since_us", "seen_us", "missed"]
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield _rows([(key[0], last, None, 1)], columns)
-            return
-        last = state.get[0] if state.exists else None
-        out = []
-        for r in _ordered(batches).itertuples(index=False):
-            if pd.isna(r.us) or (last is not None and r.us < last):
-                continue
-            if last is not None and (r.us - last) // period - 1 > 0:
-                out.append((key[0], last, r.us, (r.us - last) // period - 1))
-            last = int(r.us)
-        if last is None:
-            return
-        state.update((last,))
-        due = (last + 2 * period) // 1000
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield _rows(out, columns)
-
-    rows = sdf.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    return (
-        rows.select("device", "ts", micros(F.col("ts")).alias("us"), "event_id")
-        .groupBy("device")
-        .applyInPandasWithState(
-            watch,
-            "device BIGINT, since_us BIGINT, seen_us BIGINT, missed BIGINT",
-            "last BIGINT",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-        .select(
-            "device",
-            F.timestamp_micros("since_us").alias("since"),
-            F.timestamp_micros("seen_us").alias("seen"),
-            "missed",
-        )
+    rows = watermarked(sdf, lateness).select("device", micros(F.col("ts")).alias("us"), "event_id")
+    schema = "device BIGINT, since_us BIGINT, seen_us BIGINT, missed BIGINT, late BIGINT"
+    return by_series(rows, Heartbeat(period_s), schema, lateness).select(
+        "device",
+        F.timestamp_micros("since_us").alias("since"),
+        F.timestamp_micros("seen_us").alias("seen"),
+        "missed",
+        "late",
     )
 
 

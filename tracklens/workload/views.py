@@ -16,6 +16,10 @@ from tracklens.session import ship_package
 TZ = "America/Los_Angeles"
 
 
+#: What one micro-batch reads at most, in whole files and at least one.
+BATCH_BYTES = "1g"
+
+
 class Tables:
     """Lazily opened test tables and the views over them."""
 
@@ -36,7 +40,8 @@ class Tables:
         if not self.streaming:
             return self.spark.read.parquet(path)
         schema = self.spark.read.parquet(path).schema
-        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+        files = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        return files.option("maxBytesPerTrigger", BATCH_BYTES).parquet(self.folder)
 
     @cached_property
     def part(self) -> DataFrame:
