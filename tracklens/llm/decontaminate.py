@@ -174,6 +174,7 @@ def contained_items(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], names=["did", "item", "n_shared", "n_item"]
                 )
+            _hash_of.clear()  # the worker goes on, its next task starts afresh
 
         part = picked.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)

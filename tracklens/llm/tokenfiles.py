@@ -13,10 +13,8 @@ Ids are counted over the whole corpus, one row per vocabulary entry and task; th
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -24,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracklens.llm.chunks import Remembered, lettered, spelled, text_slices, tokenizers_of
 from tracklens.llm.columns import ident, outward
 from tracklens.llm.huffman import LIMIT, Coder, code_lengths
 from tracklens.session import shared_folder
@@ -32,8 +31,6 @@ END = 0
 BLOCK_IDS = 65_536
 FILE_IDS = 4_000_000
 MAX_FILES = 20_000
-CACHE_BYTES = 96_000_000
-SLICE_BYTES = 3_000_000
 POLYNOMIAL = 0xEDB88320
 
 
@@ -43,86 +40,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=1)
-def _tokenizers(path: str):
-    """The tokenizer, and its model with line ends between words in place of the pre-tokenizer; one thread, as Spark has the cores."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer, pre_tokenizers
-
-    whole = Tokenizer.from_file(path)
-    model = Tokenizer(whole.model)
-    model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
-    vocabulary = whole.get_vocab()
-    sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-    for token, i in vocabulary.items():
-        sizes[i] = len(token)
-    return whole, model, sizes
-
-
 class ChunkEncoder:
     """Texts to ids of a byte-level BPE, each distinct chunk encoded once while it is remembered.
 
     A space before a visible character always begins a new piece of this pre-tokenizer, so what lies between two such
     spaces can be encoded alone. A chunk of Latin letters, with one mark after it or none, is one piece or two; pieces
     go to the model many at a time, without the pre-tokenizer, and are told apart by their lengths in bytes. Any other chunk goes
-    through the whole tokenizer, and so does a whole text that holds an added token's string. What is remembered is bounded by
-    ``CACHE_BYTES``, in two generations of which the older is forgotten when the newer is full; it lives as long as its task.
+    through the whole tokenizer, and so does a whole text that holds an added token's string. What is remembered is bounded, and
+    lives as long as its task.
     """
 
     MARKS = frozenset(".,;:!?)\"")
 
     def __init__(self, path: str, end: int):
-        self.tokenizer, self.model, self.sizes = _tokenizers(path)
+        self.tokenizer, self.model = tokenizers_of(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = re.compile("|".join(re.escape(a.content) for a in added)) if added else None
         self.end = np.array([end], self.kind).tobytes()
         self.blank_next = re.compile(r" (?:\s|\Z)")
         self.before_visible = re.compile(r" (?=\S)")
         self.latin = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
-        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        hidden = [b for b in range(256) if b not in visible]
-        # the byte alphabet: visible bytes stand for themselves, the others follow from 256 on
-        self.alphabet = {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.marks = dict(zip(sorted(self.MARKS), self._whole(sorted(self.MARKS)), strict=True))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.bytes = 0
+        self.known = Remembered()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in made]
 
-    def _pieces(self, words: list[str]) -> list[bytes]:
-        """The ids of words of letters, each after its space."""
-        out: list[bytes] = []
-        for at in range(0, len(words), 1000):
-            part = [(" " + w).encode().decode("latin-1").translate(self.alphabet) for w in words[at : at + 1000]]
-            ids = np.array(self.model.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.kind)
-            reached, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
-            ends = np.searchsorted(reached, wanted)
-            if not np.array_equal(reached[ends], wanted):
-                raise ValueError("the model's tokens do not cover the words given to it")
-            raw, width, start = ids.tobytes(), self.kind.itemsize, 0
-            for stop in ((ends + 1) * width).tolist():
-                out.append(raw[start:stop])
-                start = stop
-        return out
-
-    def _remember(self, chunk: str, ids: bytes) -> None:
-        self.known[chunk] = ids
-        self.bytes += len(chunk) + len(ids) + 160
+    def _ends(self, ids: np.ndarray, words: list[str]) -> np.ndarray:
+        """Where the letters of the tokens add up to those of the words."""
+        reached, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        stops = np.searchsorted(reached, wanted)
+        return stops if len(ids) and stops[-1] < len(ids) and (reached[stops] == wanted).all() else stops[:0]
 
     def _learn(self, chunks: set[str]) -> None:
         """See that every chunk is known."""
-        if self.bytes > CACHE_BYTES // 2:
-            self.older, self.known, self.bytes = self.known, {}, 0
         words: dict[str, list[str]] = {}
         other: list[str] = []
-        for chunk in chunks - self.known.keys():
-            if (found := self.older.get(chunk)) is not None:
-                self._remember(chunk, found)
-                continue
+        for chunk in self.known.unknown(chunks):
             word = chunk if chunk.isalpha() else chunk[:-1]
             plain = word.isalpha() and (word is chunk or chunk[-1] in self.MARKS)
             if plain and (word.isascii() or self.latin.fullmatch(word)):
@@ -130,13 +90,13 @@ class ChunkEncoder:
             else:
                 other.append(chunk)
         new = [w for w in words if w not in self.known]
-        made = dict(zip(new, self._pieces(new), strict=True))
+        made = dict(zip(new, spelled(self.model, [lettered(" " + w) for w in new], self.kind, self._ends), strict=True))
         for word, held in words.items():
             ids = made[word] if word in made else self.known[word]
             for chunk in held:
-                self._remember(chunk, ids if chunk == word else ids + self.marks[chunk[-1]])
+                self.known.put(chunk, ids if chunk == word else ids + self.marks[chunk[-1]])
         for chunk, ids in zip(other, self._whole([" " + c for c in other]), strict=True):
-            self._remember(chunk, ids)
+            self.known.put(chunk, ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split: list[list[str] | None] = []
@@ -153,16 +113,6 @@ class ChunkEncoder:
         ]
 
 
-def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with some ``SLICE_BYTES`` of text each, one row at least."""
-    sizes = np.cumsum(np.fromiter((len(t.as_py() or "") for t in batch.column(text)), np.int64, batch.num_rows))
-    cuts = np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1
-    edges = [0, *cuts.tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def token_ids(
     docs: DataFrame, path: str, end: int = END, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -171,7 +121,7 @@ def token_ids(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(path, end)
         for batch in batches:
-            for part in _slices(batch, 1):
+            for part in text_slices(batch, 1):
                 ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
                 n = pa.array([len(i) // encoder.kind.itemsize for i in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -219,7 +169,7 @@ def write_ids(
     written each. An empty table writes no block. Other columns of the input are ignored.
     """
     path = path or tokenizer_path()
-    size = _tokenizers(path)[0].get_vocab_size()
+    size = tokenizers_of(path)[0].get_vocab_size()
     kind = "<u2" if size <= 1 << 16 else "<u4"
     spark = docs.sparkSession
     # the row's number splits even repeated rows between files

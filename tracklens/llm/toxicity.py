@@ -191,6 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
                 ],
                 names=["did", "toxic", "flat", "starts"],
             )
+        _slot_of.clear()  # the worker goes on, its next task starts afresh
 
     made = texts.mapInArrow(run, "did long, toxic int, flat binary, starts binary")
     once = {row.did: (bytes(row.flat), bytes(row.starts), row.toxic) for row in made.toLocalIterator()}
@@ -222,6 +223,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(worst, pa.string())],
                 names=["did", "score", "worst"],
             )
+        _slot_of.clear()
 
     picked = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
     made = picked.mapInArrow(run, "did long, score double, worst string")
