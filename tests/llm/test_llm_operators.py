@@ -189,6 +189,20 @@ def test_suffix_dedup(spark, corpus):
     assert sum(v[0] for v in got.values()) > 1000
 
 
+def test_texts_of_one_id_are_cut_apart(spark):
+    """(2, A with a tail) repeats document 1, (2, B) and the rows without an id repeat nothing."""
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 30) for _ in range(4))
+    rows = [(1, a), (2, a + " tail one"), (2, b), (None, c), (None, d), (3, b), (3, c + d), (3, prose(rng, 25))]
+    made = suffixes.remove_repeats(documents(spark, rows)).collect()
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed) for r in made)
+    size = {t: len(t) for _, t in rows}
+    full = {(2, a + " tail one"): size[a], (3, b): size[b], (3, c + d): size[c + d]}
+    want = sorted((i is not None, i or 0, size[t], full.get((i, t), 0)) for i, t in rows)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) <= 1 for g, w in zip(got, want, strict=True)), (got, want)
+
+
 def test_suffix_pieces(monkeypatch):
     rng = random.Random(2)
     data = prose(rng, 900).encode()

@@ -37,13 +37,15 @@ BATCH_BYTES = 16 << 20
 
 #: ``side``: how many bytes the stretch's position is behind its start, and a byte of hash of the 13 bytes left and right.
 FIELDS = [
-    ("rank", "<u8"), ("stretch", "<u8"), ("did", "<i8"), ("start", "<u4"), ("count", "u1"), ("side", "u1"),
+    ("rank", "<u8"), ("stretch", "<u8"), ("did", "<i8"), ("text", "<i8"), ("start", "<u4"), ("count", "u1"), ("side", "u1"),
     ("left", "u1"), ("right", "u1"),
 ]
 RECORD = np.dtype(FIELDS)
 SPAN = np.dtype([("start", "<u4"), ("count", "u1")])
+MARKED = [("did", "<i8"), ("text", "<i8"), ("start", "<u4"), ("count", "u1")]
+DOCUMENT_BUCKETS = 4096
 SIDE = 13
-SPANS, LOOK = 1, 2
+RECORDS, SPANS, LOOK = 0, 1, 2
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -76,7 +78,10 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(pieces: list[tuple[int, int, bytes]]) -> np.ndarray:
-    """Records of all stretches of windows in the pieces (``did, offset in its document, bytes``), under 1 MB in sum."""
+    """Records of all stretches of windows in the pieces (``did, offset in its document, bytes``), under 1 MB in sum.
+
+    ``did`` may be any number that tells the documents apart.
+    """
     data = b"".join(p for _, _, p in pieces)
     if len(data) < LENGTH:
         return np.empty(0, RECORD)
@@ -95,7 +100,7 @@ def stretches(pieces: list[tuple[int, int, bytes]]) -> np.ndarray:
     keep = valid[first]
     first, last = first[keep], last[keep]
     anchor = chosen[first].astype(np.int64)
-    out = np.empty(len(first), RECORD)
+    out = np.zeros(len(first), RECORD)
     stretch = _mixed(ranks[first] * _M1 + ranks[first + HALF] * _M3)
     stretch = _mixed((stretch ^ ranks[last]) * _M1 + ranks[last + HALF] * _M3)
     shape = ((last - first) * 64 + (anchor - first)).astype(np.uint64)
@@ -116,16 +121,17 @@ def stretches(pieces: list[tuple[int, int, bytes]]) -> np.ndarray:
     return out
 
 
-def _packed(records: np.ndarray) -> bytes:
+def _packed(records: np.ndarray, fields: list[tuple[str, str]] = FIELDS) -> bytes:
     """Field after field, in the order of the documents: ids and places compress in a shuffle, hashes do not."""
-    records = records[np.lexsort((records["start"], records["did"]))]
-    return b"".join(records[name].tobytes() for name, _ in FIELDS)
+    records = records[np.lexsort((records["start"], records["text"], records["did"]))]
+    return b"".join(records[name].astype(kind).tobytes() for name, kind in fields)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.empty(len(data) // RECORD.itemsize, RECORD)
+def _unpacked(data: bytes, fields: list[tuple[str, str]] = FIELDS) -> np.ndarray:
+    kinds = np.dtype(fields)
+    out = np.empty(len(data) // kinds.itemsize, kinds)
     at = 0
-    for name, kind in FIELDS:
+    for name, kind in fields:
         out[name] = np.frombuffer(data, kind, len(out), at)
         at += len(out) * np.dtype(kind).itemsize
     return out
@@ -134,17 +140,22 @@ def _unpacked(data: bytes) -> np.ndarray:
 def _dealt(records: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """A batch's records by bucket of ranks; those a smaller document of the batch repeats go as spans by document."""
     records, _, repeat = _smallest(records)
-    yield _spans_by_document(records[repeat], SPANS, buckets)
+    yield _spans(records[repeat], SPANS)
     records = records[~repeat]
     bucket = (records["rank"] >> np.uint64(40)).astype(np.int64) % buckets
+    yield _by_bucket(records, bucket, RECORDS, FIELDS)
+
+
+def _by_bucket(records: np.ndarray, bucket: np.ndarray, kind: int, fields: list[tuple[str, str]]) -> pa.RecordBatch:
+    """One row per bucket, whatever the number of documents."""
     order = np.argsort(bucket, kind="stable")
     records, bucket = records[order], bucket[order]
     found, at = np.unique(bucket, return_index=True)
-    parts = [_packed(p) for p in np.split(records, at[1:])] if len(found) else []
-    none = np.zeros(len(found))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(found, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.int64()), pa.array(parts, pa.binary())],
-        names=["bucket", "kind", "did", "data"],
+    parts = [_packed(p, fields) for p in np.split(records, at[1:])] if len(found) else []
+    kinds = np.full(len(found), kind)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found, pa.int32()), pa.array(kinds, pa.int32()), pa.array(parts, pa.binary())],
+        names=["bucket", "kind", "data"],
     )
 
 
@@ -157,21 +168,35 @@ def _smallest(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return records, new, records["did"] > least
 
 
-def _spans_by_document(records: np.ndarray, kind: int, buckets: int = 1) -> pa.RecordBatch:
-    records = records[np.argsort(records["did"], kind="stable")]
-    dids, at = np.unique(records["did"], return_index=True)
-    spans = np.empty(len(records), SPAN)
-    spans["start"], spans["count"] = records["start"], records["count"]
-    parts = [s.tobytes() for s in np.split(spans, at[1:])] if len(dids) else []
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(dids % buckets, pa.int32()),
-            pa.array(np.full(len(dids), kind), pa.int32()),
-            pa.array(dids, pa.int64()),
-            pa.array(parts, pa.binary()),
-        ],
-        names=["bucket", "kind", "did", "data"],
-    )
+def _spans(records: np.ndarray, kind: int) -> pa.RecordBatch:
+    """The stretches' places by bucket of documents."""
+    mixed = _mixed(records["did"].view(np.uint64) * _M1 + records["text"].view(np.uint64) * _M3)
+    return _by_bucket(records, (mixed >> np.uint64(40)).astype(np.int64) % DOCUMENT_BUCKETS, kind, MARKED)
+
+
+def spans_by_document(parts: DataFrame, kind: int) -> DataFrame:
+    """``did, text_key, spans``: one row per document from the parts of a kind, gathered by bucket of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered = [_unpacked(v.as_py(), MARKED) for batch in batches for v in batch.column(0)]
+        if not gathered:
+            return
+        marks = np.concatenate(gathered)
+        marks = marks[np.lexsort((marks["start"], marks["text"], marks["did"]))]
+        new = np.ones(len(marks), dtype=bool)
+        new[1:] = (marks["did"][1:] != marks["did"][:-1]) | (marks["text"][1:] != marks["text"][:-1])
+        first = np.flatnonzero(new)
+        spans = np.empty(len(marks), SPAN)
+        spans["start"], spans["count"] = marks["start"], marks["count"]
+        raw, ends = spans.tobytes(), [*(first[1:] * SPAN.itemsize).tolist(), len(marks) * SPAN.itemsize]
+        parts = [raw[a:b] for a, b in zip((first * SPAN.itemsize).tolist(), ends, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(marks["did"][first]), pa.array(marks["text"][first]), pa.array(parts, pa.binary())],
+            names=["did", "text_key", "spans"],
+        )
+
+    chosen = parts.where(F.col("kind") == kind).select("data", "bucket").repartition("bucket").select("data")
+    return chosen.mapInArrow(run, "did long, text_key long, spans binary")
 
 
 def _pieces(did: int, data: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -183,19 +208,28 @@ def _bytes(text) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-PARTS = "bucket int, kind int, did long, data binary"
+PARTS = "bucket int, kind int, data binary"
 
 
 def chosen_positions(docs: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, kind, did, data``: packed records by bucket, and spans (kind 1) already known to repeat."""
+    """``bucket, kind, data`` from ``did, text_key, text``: records by bucket of ranks, and spans already known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: list[np.ndarray] = []
         some: list[tuple[int, int, bytes]] = []
+        owners: list[tuple[int, int]] = []
         size = total = 0
+
+        def dealt() -> Iterator[pa.RecordBatch]:
+            records = np.concatenate([*gathered, stretches(some)])
+            local, known = records["did"].copy(), np.array(owners, dtype=np.int64).reshape(-1, 2)
+            records["did"], records["text"] = known[local, 0], known[local, 1]
+            yield from _dealt(records, buckets)
+
         for batch in batches:
-            for did, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for piece in _pieces(did, _bytes(text)):
+            for did, key, text in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), strict=True):
+                owners.append((did, key))
+                for piece in _pieces(len(owners) - 1, _bytes(text)):
                     if size + len(piece[2]) > 1 << 20 and some:
                         gathered.append(stretches(some))
                         some, size = [], 0
@@ -203,14 +237,11 @@ def chosen_positions(docs: DataFrame, buckets: int) -> DataFrame:
                     size += len(piece[2])
                     total += len(piece[2])
                 if total > BATCH_BYTES:
-                    gathered.append(stretches(some))
-                    some, size, total = [], 0, 0
-                    yield from _dealt(np.concatenate(gathered), buckets)
-                    gathered = []
-        gathered.append(stretches(some))
-        yield from _dealt(np.concatenate(gathered), buckets)
+                    yield from dealt()
+                    gathered, some, owners, size, total = [], [], [], 0, 0
+        yield from dealt()
 
-    return docs.mapInArrow(run, PARTS)
+    return docs.select("did", "text_key", "text").mapInArrow(run, PARTS)
 
 
 def _shared(keys: tuple[np.ndarray, ...], dids: np.ndarray, where: np.ndarray) -> np.ndarray:
@@ -229,23 +260,23 @@ def _shared(keys: tuple[np.ndarray, ...], dids: np.ndarray, where: np.ndarray) -
 
 
 def shared_stretches(positions: DataFrame) -> DataFrame:
-    """``bucket, kind, did, data``: spans that repeat as a whole (1) and spans whose windows must be looked at (2)."""
+    """``bucket, kind, data``: spans that repeat as a whole (1) and spans whose windows must be looked at (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = []
         for batch in batches:
             known = batch.filter(pa.compute.equal(batch.column(1), SPANS))
             if known.num_rows:
-                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "did", "data"])
+                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "data"])
             gathered += [
                 _unpacked(v.as_py())
-                for kind, v in zip(batch.column(1).to_pylist(), batch.column(3), strict=True)
+                for kind, v in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)
                 if kind != SPANS
             ]
         if not gathered:
             return
         records, _, repeat = _smallest(np.concatenate(gathered))
-        yield _spans_by_document(records[repeat], SPANS)
+        yield _spans(records[repeat], SPANS)
         records = records[~repeat]
         last = records["side"].astype(np.int64) - records["count"] + 1  # of the last window's start
         left = _shared((records["left"], records["rank"]), records["did"], records["side"] >= SIDE)
@@ -257,7 +288,7 @@ def shared_stretches(positions: DataFrame) -> DataFrame:
         records = records[look]
         records["start"] += skipped[look].astype(np.uint32)
         records["count"] = taken[look]
-        yield _spans_by_document(records, LOOK)
+        yield _spans(records, LOOK)
 
     return positions.repartition("bucket").mapInArrow(run, PARTS)
 
@@ -268,8 +299,8 @@ def single_windows(joined: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, size = [], 0
         for batch in batches:
-            for did, text, parts in zip(*batch.columns, strict=True):
-                spans = np.concatenate([np.frombuffer(p, SPAN) for p in parts.as_py()])
+            for did, key, text, raw in zip(*batch.columns, strict=True):
+                spans = np.frombuffer(raw.as_py(), SPAN)
                 ranks = half_ranks(_bytes(text))
                 counts = spans["count"].astype(np.int64)
                 steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -277,7 +308,7 @@ def single_windows(joined: DataFrame, buckets: int) -> DataFrame:
                 at = at[at + HALF < len(ranks)]
                 made = np.zeros(len(at), RECORD)
                 made["rank"], made["stretch"] = ranks[at], ranks[at + HALF]
-                made["did"], made["start"], made["count"] = did.as_py(), at, 1
+                made["did"], made["text"], made["start"], made["count"] = did.as_py(), key.as_py(), at, 1
                 gathered.append(made)
                 size += len(made)
                 if size > 500_000:
@@ -297,25 +328,24 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
         for batch in batches:
             known = batch.filter(pa.compute.equal(batch.column(1), SPANS))
             if known.num_rows:
-                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "did", "data"])
+                yield pa.RecordBatch.from_arrays(known.columns, names=["bucket", "kind", "data"])
             gathered += [
                 _unpacked(v.as_py())
-                for kind, v in zip(batch.column(1).to_pylist(), batch.column(3), strict=True)
+                for kind, v in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)
                 if kind != SPANS
             ]
         if gathered:
             records, _, repeat = _smallest(np.concatenate(gathered))
-            yield _spans_by_document(records[repeat], SPANS)
+            yield _spans(records[repeat], SPANS)
 
     return windows.repartition("bucket").mapInArrow(run, PARTS)
 
 
-def _covered(size: int, spans: list[np.ndarray]) -> np.ndarray:
-    change = np.zeros(size + 1, dtype=np.int64)
-    for s in spans:
-        np.add.at(change, np.minimum(s["start"].astype(np.int64), size), 1)
-        np.add.at(change, np.minimum(s["start"].astype(np.int64) + s["count"] - 1 + LENGTH, size), -1)
-    return np.cumsum(change[:-1]) > 0
+def _covered(size: int, spans: np.ndarray) -> np.ndarray:
+    start = spans["start"].astype(np.int64)
+    begins = np.bincount(np.minimum(start, size), minlength=size + 1)
+    ends = np.bincount(np.minimum(start + spans["count"] - 1 + LENGTH, size), minlength=size + 1)
+    return np.cumsum(begins - ends)[:-1] > 0
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,27 +353,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes when a 50-byte string over it also starts in a document of smaller id; strings are judged on the
     input. NULL texts are empty, texts under 50 bytes never change. Rows of one id are one document: they do
-    not repeat each other, and where their texts differ a place goes if it repeats in any of them. Rows without an id
-    are the smallest document. ``kept`` is binary, as a cut may fall inside a character. Other columns are ignored.
+    not repeat each other, and each text of an id is cut by itself. Rows without an id are the smallest document. ``kept`` is binary, as a cut may fall inside a character. Other columns are ignored.
     """
     spark = docs.sparkSession
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
-    spans = written(shared_stretches(chosen_positions(texts, buckets)), "stretches").select("kind", "did", "data")
-    spread = texts.repartition("did")
-    look = spans.where(F.col("kind") == LOOK).groupBy("did").agg(F.collect_list("data").alias("look"))
-    windows = single_windows(spread.join(look, "did").select("did", "text", "look"), buckets)
-    whole = spans.where(F.col("kind") == SPANS).select("did", "data")
-    whole = whole.unionByName(repeated_windows(windows).select("did", "data"))
-    whole = whole.groupBy("did").agg(F.collect_list("data").alias("whole"))
-    joined = spread.join(whole, "did", "left").select("did", "text", "whole")
+    texts = texts.select("did", F.xxhash64("text").alias("text_key"), "text")  # of an id's texts
+    document = ["did", "text_key"]
+    spans = written(shared_stretches(chosen_positions(texts, buckets)), "stretches")
+    spread = texts.repartition(*document)
+    look = spread.join(spans_by_document(spans, LOOK), document).select(*document, "text", "spans")
+    windows = repeated_windows(single_windows(look, buckets))
+    joined = spread.join(spans_by_document(spans.unionByName(windows), SPANS), document, "left")
+    joined = joined.select("did", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for did, text, parts in zip(*batch.columns, strict=True):
+            for did, text, raw in zip(*batch.columns, strict=True):
                 data = _bytes(text)
-                gone = _covered(len(data), [np.frombuffer(p, SPAN) for p in parts.as_py() or []])
+                gone = _covered(len(data), np.frombuffer(raw.as_py() or b"", SPAN))
                 runs = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 rows.append((did.as_py(), len(data), int(gone.sum()), runs, kept))
