@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tracklens.functions import text
 from tracklens.operators import calendar as K
+from tracklens.operators.intervals import dyadic, range_join
 from tracklens.sources.icalendar import read_events
 
 # Five weekly rules (start, end, days) until 2026-12-21 07:59:59 UTC.
@@ -93,6 +95,57 @@ def test_tick_tolerance(spark):
     assert [r.name for r in K.assign_tick(ticks, sessions).orderBy("day", "m").collect()] == [None, "s", "s", None, None]
 
 
+def brute_range(points, intervals):
+    out = []
+    for day, m in points:
+        hits = [(day, m, n) for d, n, lo, hi in intervals if d == day and lo <= m <= hi]
+        out += hits or [(day, m, None)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("width", [1.0, 7.5, 1000.0])
+def test_intervals_of_any_length(spark, width):
+    rng = random.Random(8)
+    intervals = [(d, f"i{d}{k}", lo, lo + rng.choice([0.0, 3.0, 90.0, 4000.0])) for d in (1, 2) for k, lo in enumerate(rng.uniform(-3000, 3000) for _ in range(30))]
+    intervals += [(1, "all", -1e6, 1e6), (2, "empty", 5.0, 4.0)]
+    points = [(rng.choice([1, 2, 3]), round(rng.uniform(-3500, 3500), 2)) for _ in range(300)] + [(1, intervals[0][2]), (2, 2e6)]
+    a = spark.createDataFrame(points, "day INT, m DOUBLE")
+    b = spark.createDataFrame(intervals, "day INT, name STRING, lo DOUBLE, hi DOUBLE")
+    got = range_join(a, b, F.col("m"), F.col("lo"), F.col("hi"), width, keys=("day",))
+    assert sorted([(r.day, r.m, r.name) for r in got.collect()], key=str) == brute_range(points, intervals)
+    inner = range_join(a, b, F.col("m"), F.col("lo"), F.col("hi"), width, keys=("day",), how="inner")
+    assert sorted([(r.day, r.m, r.name) for r in inner.collect()], key=str) == [x for x in brute_range(points, intervals) if x[2]]
+
+
+def test_a_long_interval_is_few_pieces(spark):
+    """4,000 years in days: under 100 rows, aligned, without gap or overlap."""
+    df = spark.createDataFrame([(-700_001, 761_234), (5, 5), (0, 4), (-8, 7)], "a LONG, b LONG")
+    rows = df.select("a", "b", dyadic(F.col("a"), F.col("b")).alias("p")).collect()
+    assert len(rows[0].p) < 100 and len(rows[1].p) == 1 and len(rows[3].p) == 2
+    for r in rows:
+        spans = sorted((p.bucket << p.level, (p.bucket + 1) << p.level) for p in r.p)
+        assert spans[0][0] == r.a and spans[-1][1] == r.b + 1
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_ends_in_every_form(spark, tmp_path):
+    """A date, a local time and a UTC time end a rule; what is no time is rejected with a reason, and nothing aborts."""
+    event = "BEGIN:VEVENT\nUID:{}\nDTSTAMP:{}\nDTSTART;TZID={}:20261102T193000\nDTEND;TZID={}:20261102T203000\nRRULE:FREQ=WEEKLY;BYDAY=MO;UNTIL={}\nEND:VEVENT\n"
+    zone = "America/Los_Angeles"
+    cases = [("date", zone, "20261116"), ("local", zone, "20261116T193000"), ("utc", zone, "20261117T033000Z"), ("short", zone, "20261117T032959Z"),
+             ("none", zone, "20260931T250000"), ("word", zone, "soon"), ("nowhere", "Mars/Base", "20261116"), ("leap", zone, "20270229")]
+    path = tmp_path / "c.ics"
+    path.write_text("BEGIN:VCALENDAR\n" + "".join(event.format(u, "20260927" if u == "date" else "20260927T032245Z", z, z, e) for u, z, e in cases) + "END:VCALENDAR\n")
+    events = read_events(spark, str(path))
+    days = {}
+    for r in K.expand_rules(events).collect():
+        days.setdefault(r.uid, []).append(r.occurs_local.day)
+    assert {k: sorted(v) for k, v in days.items()} == {"date": [2, 9, 16], "local": [2, 9, 16], "utc": [2, 9, 16], "short": [2, 9]}
+    reasons = {r.uid: r.reason for r in K.rejected_rules(events).collect()}
+    assert reasons == {"none": "no end", "word": "no end", "leap": "no end", "nowhere": "zone"}
+    assert events.filter("dtstamp IS NULL").count() == 0
+
+
 def test_adherence(spark):
     plan = spark.createDataFrame([("deep", dt.date(2026, 9, 28), dt.date(2026, 10, 12))], "lane STRING, first_week DATE, last_week DATE")
     log = spark.createDataFrame([("deep", dt.date(2026, 10, 5), 2)], "lane STRING, week_of DATE, entries BIGINT")

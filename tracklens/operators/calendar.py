@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.functions import text
+from tracklens.functions.clock import known_zone
 from tracklens.operators.intervals import range_join
 
 
@@ -75,6 +76,7 @@ def rule_problem(rules: DataFrame) -> Column:
     has_rule = _rule(rules).isNotNull() | F.col("byday").isNotNull()
     return (
         F.when(F.col("start_local").isNull(), "no start")
+        .when(~known_zone(F.coalesce(F.nullif("tz", F.lit("")), F.lit("UTC"))), "zone")
         .when(_part(rules, "FREQ") != "WEEKLY", "frequency")
         .when((F.size(F.array_except(parts, known)) > 0) | (week_start != "MO"), "unsupported part")
         .when(F.exists("byday", lambda d: ~d.isin("MO", "TU", "WE", "TH", "FR", "SA", "SU")), "weekday")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_STAMP = "yyyyMMdd'T'HHmmss"
-
+from tracklens.functions.clock import clock_time, known_zone
 
 def _property(name: str, group: int = 1, params: str = "") -> Column:
     found = F.regexp_extract("_event", rf"(?m)^{name}{params}:(.*?)\r?$", group)
@@ -14,9 +13,20 @@ def _property(name: str, group: int = 1, params: str = "") -> Column:
 
 
 def _local(name: str) -> Column:
-    """The clock time of a property in local, zoned or UTC form; anything else is missing, not an error."""
-    stamp = F.regexp_extract(_property(name, 1, r"(?:;[^:]*)?"), r"^(\d{8}T\d{6})Z?$", 1)
-    return F.to_timestamp_ntz(F.when(stamp != "", stamp), F.lit(_STAMP))
+    """The clock time of a property in date, local, zoned or UTC form; anything else is missing, not an error."""
+    return clock_time(_property(name, 1, r"(?:;[^:]*)?"))
+
+
+def until(text: Column, tz: Column) -> Column:
+    """The end of a rule as a zone-less UTC time: a UTC time as it stands, a local time or the last second of a date in ``tz``.
+
+    Without a zone a local time counts as UTC; with an unknown one the end is missing.
+    """
+    stated = F.coalesce(F.nullif(tz, F.lit("")), F.lit("UTC"))
+    zone = F.when(known_zone(stated), stated)
+    return F.when(F.endswith(text, F.lit("Z")), clock_time(text)).otherwise(
+        F.convert_timezone(zone, F.lit("UTC"), clock_time(text, day_ends=True))
+    )
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -32,7 +42,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         .filter(F.contains("_event", F.lit("END:VEVENT")))
         .select(
             _property("UID").alias("uid"),
-            F.to_timestamp_ntz(_property("DTSTAMP"), F.lit(f"{_STAMP}'Z'")).alias("dtstamp"),
+            clock_time(_property("DTSTAMP")).alias("dtstamp"),
             F.when(_property("DTSTART").endswith("Z"), "UTC")
             .otherwise(F.regexp_extract("_event", r"(?m)^DTSTART;TZID=([^:]*):", 1))
             .alias("tz"),
@@ -46,7 +56,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
             {
                 "freq": F.try_element_at(rule, F.lit("FREQ")),
                 "byday": F.split(F.try_element_at(rule, F.lit("BYDAY")), ","),
-                "until_utc": F.to_timestamp_ntz(F.try_element_at(rule, F.lit("UNTIL")), F.lit(f"{_STAMP}'Z'")),
+                "until_utc": until(F.try_element_at(rule, F.lit("UNTIL")), F.col("tz")),
             }
         )
         .withColumnRenamed("_rule", "rule")
