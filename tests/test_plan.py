@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
+from test_telemetry import same
 
 from tracklens.functions import text
+from tracklens.operators import digests as D
 from tracklens.operators import plan as P
 from tracklens.operators import publish as G
 from tracklens.sources.markdown import read_track_tables
@@ -52,6 +54,29 @@ def test_markdown_tables(spark, tmp_path):
     }
 
 
+def test_a_changed_row_shuffles_one_range(spark):
+    a = spark.range(600_000).select("id", (F.col("id") * 7 % 1000).alias("x"))
+    b = a.withColumn("x", F.when(F.col("id") == 123_456, -1).otherwise(F.col("x")))
+    bits = D.bits_for(600_000)
+    trees = [D.digest_tree(df, ["id"], bits) for df in (a, b)]
+    leaves = D.differing_leaves(*trees, bits)
+    assert bits == 10 and leaves.count() == 1
+    assert D.in_leaves(a, leaves, ["id"], bits).count() < 1000
+    found = D.tree_diff(a, b, ["id"]).collect()
+    assert sorted((r.side, r.id, r.x, r.copies) for r in found) == [("left", 123_456, 864_192 % 1000, 1), ("right", 123_456, -1, 1)]
+    assert D.tree_diff(a, a, ["id"]).count() == 0
+
+
+def test_tree_diff_equals_the_plain_difference(spark):
+    rows = [(i % 50 if i % 13 else None, i % 7 if i % 11 else None) for i in range(400)]
+    a, b = (spark.createDataFrame(r, "k INT, v INT") for r in (rows, rows[5:] + rows[:2] + [(99, 1)] * 3))
+    for bits in (0, 3, 6):
+        same(D.tree_diff(a, b, ["k"], bits), P.dataset_diff(a, b))
+    nothing = a.limit(0)
+    same(D.tree_diff(nothing, b, ["k"], 4), P.dataset_diff(nothing, b))
+    assert D.tree_diff(nothing, nothing, ["k"]).count() == 0
+
+
 def test_dataset_diff_counts_copies(spark):
     a = spark.createDataFrame([(1,), (1,), (1,), (2,)], "x INT")
     b = spark.createDataFrame([(1,), (3,), (None,)], "x INT")

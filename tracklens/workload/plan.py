@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tracklens.functions import text
 from tracklens.operators import plan as P
 from tracklens.operators import publish as G
+from tracklens.operators import digests
 from tracklens.plans import plan_audit
 from tracklens.session import shared_folder
 from tracklens.sources.markdown import read_track_tables
@@ -102,6 +103,22 @@ def _(t):
     return P.dataset_diff(side("O"), side("F"))
 
 
+@query(
+    "tree_diff",
+    """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem),
+    b AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 1000 = 7 THEN l_quantity + 1 ELSE l_quantity END
+      AS l_quantity FROM lineitem WHERE l_orderkey % 1000 <> 8)
+    SELECT side, l_orderkey, l_linenumber, l_partkey, l_quantity, count(*) AS copies FROM (
+      SELECT 'left' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+      UNION ALL SELECT 'right', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) GROUP BY ALL""",
+)
+def _(t):
+    a = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    more = F.when(F.col("l_orderkey") % 1000 == 7, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    b = a.filter(F.col("l_orderkey") % 1000 != 8).withColumn("l_quantity", more)
+    return digests.tree_diff(a, b, ["l_orderkey", "l_linenumber"])
+
+
 @query("unit_rows", "SELECT track, declared, CAST(unnest(range(1, declared + 1)) AS INTEGER) AS unit FROM declared", ("declared",))
 def _(t):
     return P.unit_rows(t.declared)
@@ -159,16 +176,29 @@ def _(t):
     m AS (SELECT 'minutes' AS "check", CAST(owner AS VARCHAR) AS key, count(*) * 180 AS declared,
       CAST(sum(len(byday) * minutes) AS BIGINT) AS actual FROM rules GROUP BY owner),
     w AS (SELECT 'weekday' AS "check", CAST(uid AS VARCHAR) AS key,
-      upper(byday[1][1]) || lower(byday[1][2]) AS declared, substr(strftime(start_local, '%a'), 1, 2) AS actual FROM rules)
+      upper(byday[1][1]) || lower(byday[1][2]) AS declared, substr(strftime(start_local, '%a'), 1, 2) AS actual FROM rules),
+    p AS (SELECT 'track role' AS "check", track || ' / ' || role AS key, count(*) FILTER (title NOT LIKE 'part 1%') AS declared,
+      count(*) AS actual FROM entries GROUP BY track, role),
+    d AS (SELECT track, sum(n) AS n FROM (SELECT track, role, title, 1 AS n FROM entries
+      UNION ALL SELECT track, CASE WHEN track % 97 = 0 THEN 'w' ELSE role END, title, -1 FROM entries
+        WHERE track % 89 <> 0 OR role <> 'r') GROUP BY track, role, title HAVING sum(n) <> 0),
+    s AS (SELECT 'source' AS "check", CAST(track AS VARCHAR) AS key, coalesce(sum(-n) FILTER (n < 0), 0) AS declared,
+      coalesce(sum(n) FILTER (n > 0), 0) AS actual FROM d GROUP BY track)
     SELECT "check", key, CAST(declared AS VARCHAR) AS declared, CAST(actual AS VARCHAR) AS actual,
-      declared IS NOT DISTINCT FROM actual AS agrees FROM (SELECT * FROM t UNION ALL SELECT * FROM r UNION ALL SELECT * FROM m)
-    UNION ALL SELECT "check", key, declared, actual, declared = actual FROM w""",
+      declared IS NOT DISTINCT FROM actual AS agrees FROM (SELECT * FROM t UNION ALL SELECT * FROM r UNION ALL SELECT * FROM m
+      UNION ALL SELECT * FROM p)
+    UNION ALL SELECT "check", key, declared, actual, declared = actual FROM w
+    UNION ALL SELECT "check", key, CAST(declared AS VARCHAR), CAST(actual AS VARCHAR), false FROM s""",
     ("declared", "entries", "rules"),
 )
 def _(t):
     roles = t.entries.groupBy("role").agg(F.count_if(F.endswith("title", F.lit(" O"))).alias("declared"))
     minutes = t.rules.groupBy("owner").agg((F.count("*") * 180).alias("declared"))
-    return plan_audit.audit(t.entries, t.declared, roles, t.rules, minutes)
+    pairs = t.entries.groupBy("track", "role").agg(F.count_if(~F.startswith("title", F.lit("part 1"))).alias("declared"))
+    track = F.col("track")
+    source = t.entries.filter((track % 89 != 0) | (F.col("role") != "r"))
+    source = source.withColumn("role", F.when(track % 97 == 0, "w").otherwise(F.col("role")))
+    return plan_audit.audit(t.entries, t.declared, roles, t.rules, minutes, source, pairs)
 
 
 # ---- pages ----
