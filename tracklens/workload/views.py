@@ -17,7 +17,7 @@ TZ = "America/Los_Angeles"
 
 
 #: What one micro-batch reads at most, in whole files and at least one.
-BATCH_BYTES = "1g"
+BATCH_BYTES = 1 << 30
 
 
 class Tables:
