@@ -9,7 +9,7 @@ from tracklens.operators import interactions as I
 from tracklens.operators import telemetry as T
 from tracklens.operators.ramp import ramp_limit
 from tracklens.session import shared_folder
-from tracklens.streaming import changes, runs, stateful, windows
+from tracklens.streaming import changes, runs, stateful, store, windows
 
 
 def as_stream(spark, df, order, batches=5):
@@ -164,6 +164,68 @@ def test_change_feed_and_compaction(spark, tables):
     same(changes.current(spark, root, version, after_batch=2), twin)
 
 
+def test_store_with_compactions(spark, tables):
+    """Compactions rewrite touched buckets only, older changes lose, and what was folded is not read again."""
+    root = shared_folder(spark, "store")
+    store.create(tables.books, root, tables.changes.schema["seq"].dataType.simpleString(), buckets=8)
+    feed = tables.changes.withColumn("at", F.unix_date(F.col("seq.l_shipdate").cast("date")))
+    seen = None
+    for k in range(3):  # the newest changes first
+        part = feed.filter(F.pmod(F.xxhash64("seq"), F.lit(3)) == 2 - k)
+        store.stream_into(as_stream(spark, part, "at", batches=2).drop("at"), root, f"feed{k}")
+        seen = part if seen is None else seen.unionByName(part)
+        twin = C.apply_changes(tables.books, seen.drop("at"))
+        same(store.current(spark, root), twin)
+        if k < 2:
+            version = store.compact(spark, root)
+            same(store.current(spark, root), twin)
+            assert store.Snapshot(spark, root).touched == [] and version == k + 1
+    same(store.current(spark, root, version=0), twin)  # an older version with all changes after it
+    one = tables.books.limit(1)
+    changed = one.withColumns({"op": F.lit("upsert"), "seq": feed.agg(F.max("seq")).scalar(), "title": F.lit("new")})
+    store.compact(spark, root)
+    path = shared_folder(spark, "one")
+    changed.write.parquet(path)
+    store.stream_into(spark.readStream.schema(changed.schema).parquet(path), root, "one")
+    now = store.Snapshot(spark, root)
+    assert len(now.touched) == 1
+    version = store.compact(spark, root)
+    bases = spark.read.parquet(f"{root}/base").filter(F.col("version") == version).select("bucket").distinct().count()
+    assert bases == 1 and sorted(store.Snapshot(spark, root).base.values()).count(version) == 1
+
+
+def test_store_lookups_and_tombstones(spark):
+    root = shared_folder(spark, "store")
+    rows = spark.range(2000).select(F.concat(F.lit("a"), "id").alias("id"), F.col("id").alias("x"))
+    store.create(rows, root, "bigint", buckets=32)
+
+    def feed(name, *changes):
+        df = spark.createDataFrame(changes, "op string, seq bigint, id string, x bigint")
+        path = shared_folder(spark, "feed")
+        df.coalesce(1).write.parquet(path)
+        store.stream_into(spark.readStream.schema(df.schema).parquet(path), root, name)
+
+    def found(*ids):
+        made = store.lookup(spark, root, spark.createDataFrame([(i,) for i in ids], "id string"))
+        return sorted((r.id, r.x) for r in made.collect())
+
+    absent = spark.createDataFrame([("none7",)], "id string")
+    now = store.Snapshot(spark, root)
+    assert len(store.possible_buckets(now, spark.createDataFrame([("a5",)], "id string"))) == 1
+    assert len(store.possible_buckets(now, absent)) == 0
+    feed("f", ("remove", 10, "a1", None), ("upsert", 11, "a2", 7), ("upsert", 12, "new", 1))
+    assert found("a1", "a2", "a3", "new", "nowhere") == [("a2", 7), ("a3", 3), ("new", 1)]
+    store.compact(spark, root)
+    feed("g", ("upsert", 5, "a1", 99))  # older than the removal that is folded
+    assert found("a1", "a2") == [("a2", 7)]
+    version = store.compact(spark, root, horizon=F.lit(11).cast("bigint"))
+    base = spark.read.parquet(f"{root}/base").filter((F.col("version") == version) & (F.col("id") == "a1"))
+    assert base.count() == 0  # the tombstone has left
+    feed("h", ("upsert", 6, "a1", 98), ("upsert", 30, "a4", 40))
+    assert found("a1", "a4") == [("a4", 40)]
+    assert [r.id for r in spark.read.parquet(f"{root}/late").collect()] == ["a1"]
+
+
 def test_heartbeat(spark, tel):
     out = read(spark, stateful.stream_heartbeat(as_stream(spark, tel, "event_id"), 12 * HOUR, "1 hour")).persist()
     twin = T.missed(tel.select("device", "ts", "event_id"), 12 * HOUR).filter("missed > 0")

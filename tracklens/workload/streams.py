@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracklens.operators import interactions
 from tracklens.session import shared_folder
-from tracklens.streaming import changes, runs, stateful, windows
+from tracklens.streaming import changes, runs, stateful, store, windows
 from tracklens.workload.catalogue import COLS, plain
 from tracklens.workload.interactions import _CHECKLIST
 from tracklens.workload.registry import query
@@ -138,6 +138,24 @@ def _(t):
     return plain(changes.current(t.spark, root))
 
 
+@query(
+    "stream_store",
+    f"""SELECT {COLS} FROM last_changes WHERE op = 'upsert' UNION ALL
+    SELECT {COLS} FROM books WHERE id NOT IN (SELECT id FROM last_changes)""",
+    ("books", "last_changes"),
+)
+def _(t):
+    """Two feeds with a compaction between them; the second brings changes older than some that are folded already."""
+    root = shared_folder(t.spark, "stream-store")
+    feed = t.live.changes
+    store.create(t.books, root, feed.schema["seq"].dataType.simpleString(), buckets=16)
+    first = F.pmod(F.xxhash64("seq"), F.lit(2)) == 0
+    store.stream_into(feed.filter(first), root, "first")
+    store.compact(t.spark, root)
+    store.stream_into(feed.filter(~first), root, "second")
+    return plain(store.current(t.spark, root))
+
+
 @query(
     "stream_heartbeat",
     """SELECT device, before AS since, ts AS seen, (epoch_us(ts) - epoch_us(before)) // 43200000000 - 1 AS missed FROM
