@@ -16,25 +16,27 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.chunks import Remembered, lettered, spelled, text_slices, tokenizers_of
+from tracklens.llm.chunks import lettered, text_slices, tokenizers_of
 from tracklens.llm.columns import ident, outward
 from tracklens.session import written
 
 WINDOW = 2048
 END = 1
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
 QUERY_TERMS = 12
 NEIGHBOURS = 24
 K1, B = 1.2, 0.75
 VOCABULARY = 65_536
+CACHED_WORDS = 400_000
+CACHED_CHUNKS = 150_000
 
 
 def tokenizer_path() -> str:
@@ -43,70 +45,62 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Texts to ids of the word-level BPE, one white-space chunk at a time, each distinct chunk encoded once while remembered.
+class Encoder(dict):
+    """Texts to ids of the word-level BPE, one white-space chunk at a time, remembering a bounded number of them.
 
-    No token of this vocabulary crosses white space, so chunks can be encoded alone. Chunks of Latin letters are cut into words,
-    which go to the model many at a time; any other goes through the whole tokenizer. Lives as long as its task.
+    No token of this vocabulary crosses white space, so chunks can be encoded alone. Chunks of Latin letters go straight to
+    the merges, word by word; any other goes through the whole tokenizer. The dictionary holds chunks.
     """
 
     def __init__(self, path: str):
-        self.whole, self.model = tokenizers_of(path)
-        vocabulary = self.whole.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for token, i in vocabulary.items():
-            self.last[i] = token.endswith("</w>")
-        self.kind = np.dtype("<u2")
-        self.known = Remembered()
+        self.whole = tokenizers_of(path)[0]
+        self.model = self.whole.model
+        self.words: dict[str, bytes] = {}
         self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\w\s])+")
         self.simple = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įĲ-ž]+")
         self.blanks = re.compile(r"[ \t\n\r\x0b\x0c]+")
         # white space of str.split that is left to the tokenizer
         self.unusual = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-    def _learn(self, chunks: set[str]) -> None:
-        """See that every chunk is known."""
-        cut: dict[str, list[str]] = {}
-        other: list[str] = []
-        for chunk in self.known.unknown(chunks):
-            if (chunk.isascii() or self.simple.fullmatch(chunk)) and "<|" not in chunk and chunk.isprintable():
-                lower = chunk.lower()
-                if lower.isalpha():
-                    cut[chunk] = [lower]
-                elif (head := lower[:-1]).isalpha():
-                    cut[chunk] = [head, lower[-1]]
-                else:
-                    cut[chunk] = self.split.findall(lower)
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            mapped = word if word.isascii() else lettered(word)
+            found = array("H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            if len(self.words) < CACHED_WORDS:
+                self.words[word] = found
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (chunk.isascii() or self.simple.fullmatch(chunk)) and "<|" not in chunk and chunk.isprintable():
+            lower = chunk.lower()
+            if lower.isalpha():
+                found = self._word(lower)
+            elif (head := lower[:-1]).isalpha():
+                found = self._word(head) + self._word(lower[-1])
             else:
-                other.append(chunk)
-        # a word is a chunk too, and may be known as one
-        ids = {w: self.known.get(w) or self.known.older.get(w) for w in set(chain.from_iterable(cut.values()))}
-        new = [w for w, found in ids.items() if found is None]
-        ends = lambda ids, _: np.flatnonzero(self.last[ids])
-        ids.update(zip(new, spelled(self.model, [lettered(w) for w in new], self.kind, ends), strict=True))
-        for chunk, words in cut.items():
-            self.known.put(chunk, b"".join(map(ids.__getitem__, words)))
-        for chunk, made in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known.put(chunk, np.array(made.ids, self.kind).tobytes())
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 16-bit values, with the end id."""
-        end, split = END.to_bytes(2, "little"), []
-        for text in texts:
-            text = text or ""
-            split.append([*filter(None, self.blanks.split(text))] if self.unusual.search(text) else text.split())
-        self._learn(set(chain.from_iterable(split)))
-        return [b"".join(map(self.known.__getitem__, s)) + end for s in split]
+                found = b"".join(map(self._word, self.split.findall(lower)))
+        else:
+            found = array("H", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(self) < CACHED_CHUNKS:
+            self[chunk] = found
+        return found
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 16-bit values, with the end id."""
+        text = text or ""
+        chunks = filter(None, self.blanks.split(text)) if self.unusual.search(text) else text.split()
+        return b"".join(map(self.__getitem__, chunks)) + END.to_bytes(2, "little")
 
 
 def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``did, ids, n``: the ids of every row as little-endian 16-bit values in a binary column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encode = Encoder(path).encode  # lives as long as its task
         for batch in batches:
             for part in text_slices(batch, 1):
-                ids = encoder.encode(part.column(1).to_pylist())
+                ids = [encode(t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 2 for i in ids], pa.int64())],
                     names=["did", "ids", "n"],
