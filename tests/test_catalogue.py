@@ -1,8 +1,14 @@
+import os
+from urllib.parse import unquote, urlparse
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_telemetry import same
 
 from tracklens import dims
 from tracklens.operators import catalogue as C
+from tracklens.operators import textindex
 from tracklens.plans import shelf_report
 from tracklens.session import shared_folder
 from tracklens.sources.catalogue import load_books, rejected_books, save_books
@@ -190,3 +196,30 @@ def test_blank_titles_of_any_white_space_are_rejected(spark):
     rows = dims.seed_books(spark).limit(1)
     kept, rejected = C.clean(rows.withColumn("title", F.lit("\t ")))
     assert kept.count() == 0 and rejected.count() == 1
+
+
+def test_numbers_as_differences():
+    rng = np.random.default_rng(1)
+    for numbers in ([0], [5, 6, 1000, 8191], [0, 127, 128, 16_511, 2**40], np.unique(rng.integers(0, 8192, 500))):
+        assert textindex.numbers_of(textindex.varints(np.array(numbers))).tolist() == list(numbers)
+    assert textindex.numbers_of(b"").tolist() == []
+
+
+def test_index_equals_the_scan(spark, tables, tmp_path):
+    """Every kind of query, and fewer bytes than the whole index for one of three characters or more."""
+    docs = tables.documents.select("doc_id", F.col("text").alias("title"), F.lit(None).cast("string").alias("author"), F.lit("").alias("note"))
+    odd = spark.createDataFrame([(-1, None, "É'% _", None), (-2, "", "", ""), (-3, "ab", "c", "d")], "doc_id long, title string, author string, note string")
+    docs = docs.unionByName(odd).repartition(3)
+    root = str(tmp_path / "index")
+    textindex.build(docs, root)
+    word = docs.select(F.get(F.split("title", " "), 3).alias("w")).filter("w IS NOT NULL").first().w
+    for query in ("", "a", "qu", "the", f" {word.upper()} ", "the th", "é'% _", "b c d", "zzqqzz", "b  c"):
+        same(textindex.search(spark, root, query).select("doc_id"), C.search(docs, query).select("doc_id"))
+
+    def size(df):
+        files = df.select(F.input_file_name().alias("f")).distinct().collect()
+        return sum(os.path.getsize(unquote(urlparse(r.f).path)) for r in files)
+
+    whole = size(spark.read.parquet(f"{root}/postings"))
+    read = size(textindex._postings(spark, root, ["the", "he "]))
+    assert 0 < read < whole / 10

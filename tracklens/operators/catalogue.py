@@ -20,13 +20,19 @@ BOOK_COLUMNS = ["id", "title", "author", "format", "retailer", "price", "rating"
 # ---- predicates: None means the filter is off, so nothing reaches the plan ----
 
 
+def blob() -> Column:
+    """What a text query looks at."""
+    return F.concat_ws(" ", "title", "author", F.coalesce("note", F.lit("")))
+
+
+def wanted_text(query: str | None) -> str:
+    return (query or "").strip().lower()
+
+
 def matches_text(query: str | None) -> Column | None:
     """Trimmed, case-blind substring over title, author and note joined by spaces."""
-    wanted = (query or "").strip().lower()
-    if not wanted:
-        return None
-    blob = F.concat_ws(" ", "title", "author", F.coalesce("note", F.lit("")))
-    return F.contains(F.lower(blob), F.lit(wanted))
+    wanted = wanted_text(query)
+    return F.contains(F.lower(blob()), F.lit(wanted)) if wanted else None
 
 
 def has_status(status: str) -> Column | None:

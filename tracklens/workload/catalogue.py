@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens import dims
 from tracklens.functions import text
 from tracklens.operators import catalogue as C
+from tracklens.operators import textindex
 from tracklens.plans import shelf_report
 from tracklens.session import shared_folder
 from tracklens.sources.catalogue import load_books, rejected_books, save_books
@@ -39,6 +43,25 @@ def _(t):
     return C.search(docs, "THE th").select("doc_id", "lang", "source")
 
 
+@query(
+    "document_search_indexed",
+    " UNION ALL ".join(
+        f"SELECT {k} AS query, doc_id, lang, source FROM documents WHERE contains(lower(text), '{q}')"
+        for k, q in enumerate(["the th", "qu", "ization of", "zzqqzz"])
+    ),
+)
+def _(t):
+    """Through a trigram index; the second query has two characters and scans."""
+    docs = t.documents.select("doc_id", "lang", "source", F.col("text").alias("title"), F.lit("").alias("author"), F.lit("").alias("note"))
+    root = shared_folder(t.spark, "text-index")
+    textindex.build(docs, root)
+    found = [
+        textindex.search(t.spark, root, q).select(F.lit(k).alias("query"), "doc_id", "lang", "source")
+        for k, q in enumerate(["THE th", "qu", " ization OF", "zzqqzz"])
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("book_status", f"SELECT {COLS} FROM books WHERE status = 'reading'", BOOKS)
 def _(t):
     return plain(C.by_status(t.books, "reading"))
