@@ -105,20 +105,7 @@ CHANNELS = [
     ("Clamping state", "MPC.PRG.main.Clamped[3]", "bool"),
 ]
 
-# Control parameters the working plant starts from.
-PLANT_DEFAULTS = {
-    "PlantPRating": 50000.0,
-    "PSetpoint": 50000.0,
-    "PDeadband": 500.0,
-    "PLimitRampSetpoint": 2500.0,
-    "PLimitDelay": 15.0,
-    "EvaluationPeriod": 0.5,
-    "AdaptiveLimitFactor": 1.15,
-    "PlantLowPowerCutoff": 25.0,
-}
-
-# History cap, trend window and nominal frequency.
-HISTORY_ROWS = 480
+# Trend window and nominal frequency.
 TREND_SECONDS = 90
 NOMINAL_HZ = 60.0
 PFR_RATING_MW = 50.0

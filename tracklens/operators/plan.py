@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklens import dims
+from tracklens.functions.text import stripped
 
 
 def flatten_tracks(df: DataFrame, keep: tuple[str, ...] = ("track",)) -> DataFrame:
@@ -87,7 +88,7 @@ def edition_of(title: Column) -> Column:
 
 def work_of(title: Column) -> Column:
     """The title without its edition, trimmed and lower case."""
-    return F.lower(F.trim(F.regexp_replace(title, r"\s\d+e\s*$", "")))
+    return F.lower(stripped(F.regexp_replace(title, r"\s\d+e\s*$", "")))
 
 
 def latest_edition(df: DataFrame, tie: str = "id") -> DataFrame:

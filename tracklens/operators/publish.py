@@ -20,7 +20,7 @@ def sections(df: DataFrame, markers: dict[str, str], body: str = "html") -> Data
 def card_label(short: Column, title: Column, number: Column) -> Column:
     """The short name, else the title text, else ``Slide n``; trimmed."""
     named = F.coalesce(F.nullif(short, F.lit("")), F.nullif(title, F.lit("")))
-    return F.trim(F.coalesce(named, F.concat(F.lit("Slide "), number.cast("string"))))
+    return text.stripped(F.coalesce(named, F.concat(F.lit("Slide "), number.cast("string"))))
 
 
 def hrefs(body: Column) -> Column:

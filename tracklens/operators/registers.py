@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklens import dims
-from tracklens.functions.text import half_up
+from tracklens.functions.text import half_up, stripped
 from tracklens.operators.ordered import SLICE_ROWS, running
 
 
@@ -122,7 +122,7 @@ def diagnose(df: DataFrame, tree: DataFrame) -> DataFrame:
 
 def broken_refs(uses: DataFrame, defs: DataFrame, ref: str = "ref") -> DataFrame:
     """Uses whose name has no definition; names compare trimmed and without case."""
-    key = F.lower(F.trim(F.col(ref)))
+    key = F.lower(stripped(F.col(ref)))
     known = defs.select(key.alias("_name")).distinct()
     return uses.join(known, key == F.col("_name"), "left_anti")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens import dims
+from tracklens.functions.text import stripped
 
 _CELLS = r"^\|\s*([^|]*?)\s*\|\s*([^|]*?)\s*\|\s*$"
 
@@ -21,7 +22,7 @@ def read_track_tables(spark: SparkSession, path: str) -> DataFrame:
     words = [F.lit(x) for pair in dims.ROLE_WORDS.items() for x in pair]
     return (
         spark.read.option("lineSep", "\n## ").text(path)
-        .select(F.trim(lines[0]).alias("track"), F.posexplode(lines).alias("line", "_text"))
+        .select(stripped(lines[0]).alias("track"), F.posexplode(lines).alias("line", "_text"))
         .filter(F.col("_text").rlike(_CELLS))
         .select(
             "track",
