@@ -1,3 +1,4 @@
+import random
 import struct
 
 import pytest
@@ -134,3 +135,22 @@ def test_template_ranking_by_request_rows(spark):
     rows = R.rank_templates(R.held_features(cands, ["inv", "hyb"]), wants.filter("request IS NOT NULL")).collect()
     got = sorted((r.request, r.place, r.ord, r.score, r.pct) for r in rows)
     assert got == [("x", 1, 1, 2, 100), ("x", 1, 3, 2, 100), ("x", 3, 2, 1, 50)]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_best_of_many_templates(spark, k):
+    """The same as ranking every match, with fewer candidates looked at where a feature is hot."""
+    rng = random.Random(5)
+    rows = [(i, f"t{i % 40}", f) for i in range(600) for f in "abcdefgh" if rng.random() < (0.98 if f == "a" else 0.05)]
+    held = spark.createDataFrame(rows, "ord INT, name STRING, feature STRING")
+    wants = spark.createDataFrame([(r, f) for r in range(12) for f in "abcdefghz" if rng.random() < 0.6] + [(50, "z"), (51, "a")], "request INT, feature STRING")
+    ranked = {}
+    for r in R.rank_templates(held, wants).collect():
+        ranked.setdefault(r.request, []).append((-r.score, r.ord, r.name, r.pct))
+    want = {q: [(-s, o, n, p) for s, o, n, p in sorted(v)[:k]] for q, v in ranked.items()}
+    got = {}
+    for r in R.top_templates(held, wants, k).orderBy("request", "place").collect():
+        got.setdefault(r.request, []).append((r.score, r.ord, r.name, r.pct))
+    assert got == want and 50 not in got and len(got[51]) == k
+    assert R.nominated(held, wants.filter("request < 50"), k).count() < sum(len(v) for q, v in ranked.items() if q < 50) / 2
+    assert R.top_templates(held, wants.limit(0), k).count() == 0

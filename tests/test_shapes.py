@@ -10,7 +10,7 @@ from tracklens import dims
 from tracklens.operators import catalogue as C
 from tracklens.workload.all_queries import QUERIES
 
-WRITES = {"document_search_indexed", "catalogue_load", "catalogue_save", "track_scan", "calendar_scan", "variant_write", "recording_write", "recording", "setpoint_chain"}
+WRITES = {"document_search_indexed", "template_top", "catalogue_load", "catalogue_save", "track_scan", "calendar_scan", "variant_write", "recording_write", "recording", "setpoint_chain"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in WRITES)
 
 

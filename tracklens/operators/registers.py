@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tracklens import dims
 from tracklens.functions.text import half_up, stripped
 from tracklens.operators.ordered import SLICE_ROWS, running
+from tracklens.session import written
 
 
 def width_of(kind: Column) -> Column:
@@ -214,3 +215,51 @@ def rank_templates(held: DataFrame, wants: DataFrame) -> DataFrame:
         .join(totals, "request")
         .select("request", "ord", "name", "score", half_up(F.col("score") / F.col("_total") * 100).alias("pct"), "place")
     )
+
+
+def nominated(held: DataFrame, wants: DataFrame, k: int) -> DataFrame:
+    """``request, ord, name, score, total``: candidates among which are the best ``k`` of every request, each with its whole score.
+
+    A request looks up its features from the rarest on. A candidate not met by then has none of the features looked up, so its score
+    is at most the number of the others; once ``k`` candidates score more, the request is done, and a feature that most
+    candidates have is looked up only by requests that nothing else decides. There are as many rounds as the longest
+    request has features; each writes what it met to the shared folder.
+    """
+    held = held.select("ord", "name", "feature").distinct()
+    profiles = written(held.groupBy("ord", "name").agg(F.collect_set("feature").alias("_features")), "profiles")
+    sizes = held.groupBy("feature").agg(F.count("*").alias("_size"))
+    turn = F.row_number().over(W.partitionBy("request").orderBy(F.coalesce("_size", F.lit(0)), "feature"))
+    turns = wants.select("request", "feature").distinct().join(sizes, "feature", "left").withColumn("_turn", turn)
+    turns = written(turns.drop("_size"), "turns")
+    requests = turns.groupBy("request").agg(F.collect_set("feature").alias("_wanted"), F.count("*").cast("int").alias("total"))
+    requests = written(requests, "requests")
+    open_, seen = requests, None
+    for number in range(1, (requests.agg(F.max("total")).first()[0] or 0) + 1):
+        now = turns.filter(F.col("_turn") == number).join(open_.select("request", "_wanted", "total"), "request")
+        met = now.join(held, "feature").select("request", "ord", "name", "_wanted", "total").join(profiles, ["ord", "name"])
+        score = F.size(F.array_intersect("_features", "_wanted")).alias("score")
+        met = met.select("request", "ord", "name", score, "total")
+        seen = written(met if seen is None else seen.unionByName(met).distinct(), "nominated")
+        worst = top_by_score(seen, k).groupBy("request").agg(F.count("*").alias("_n"), F.min("score").alias("_kth"))
+        beaten = (F.col("_n") >= k) & (F.col("_kth") > F.col("total") - number)
+        left = requests.join(worst, "request", "left").filter(
+            (F.col("total") > number) & ~F.coalesce(beaten, F.lit(False))
+        )
+        open_ = written(left.select("request", "_wanted", "total"), "open-requests")
+        if open_.isEmpty():
+            break
+    if seen is None:
+        return requests.select("request", F.lit(0).alias("ord"), F.lit("").alias("name"), F.lit(0).alias("score"), "total").limit(0)
+    return seen
+
+
+def top_by_score(scored: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` per request by falling score, equals in the order of ``ord`` and name; cut before the shuffle."""
+    first = W.partitionBy("request").orderBy(F.desc("score"), "ord", "name")
+    return scored.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k)
+
+
+def top_templates(held: DataFrame, wants: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` candidates per request: score, percent of the wanted features and place, without scoring every match."""
+    best = top_by_score(nominated(held, wants, k), k)
+    return best.select("request", "ord", "name", "score", half_up(F.col("score") / F.col("total") * 100).alias("pct"), "place")

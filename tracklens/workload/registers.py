@@ -268,9 +268,28 @@ def _(t):
     FROM scored JOIN totals USING (request) WHERE score > 0""",
 )
 def _(t):
+    return R.rank_templates(*_requests(t))
+
+
+def _requests(t):
     bits = {"inv": 1, "hyb": 2, "met": 4, "sub": 8}
     wanted = [F.when(F.col("n_nationkey").bitwiseAND(b) != 0, name) for name, b in bits.items()]
     wants = t.table("nation").select(
         F.col("n_nationkey").alias("request"), F.explode(F.array_compact(F.array(*wanted))).alias("feature")
     )
-    return R.rank_templates(R.held_features(_candidates(t), list(bits)), wants)
+    return R.held_features(_candidates(t), list(bits)), wants
+
+
+@query(
+    "template_top",
+    f"""WITH wants AS (SELECT n_nationkey AS request, feature FROM nation,
+      (VALUES ('inv', 1), ('hyb', 2), ('met', 4), ('sub', 8)) f(feature, bit) WHERE (n_nationkey & bit) <> 0),
+    totals AS (SELECT request, count(*) AS total FROM wants GROUP BY request),
+    scored AS (SELECT request, ord, name, count(*) FILTER (CASE feature WHEN 'inv' THEN inv WHEN 'hyb' THEN hyb
+      WHEN 'met' THEN met ELSE sub END = 1) AS score FROM wants, ({_FEATURES}) GROUP BY ALL)
+    SELECT request, ord, name, CAST(score AS INTEGER) AS score, CAST(floor(score / total * 100 + 0.5) AS BIGINT) AS pct,
+      CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY request ORDER BY score DESC, ord, name) AS place
+        FROM scored WHERE score > 0) JOIN totals USING (request) WHERE place <= 3""",
+)
+def _(t):
+    return R.top_templates(*_requests(t), k=3)
