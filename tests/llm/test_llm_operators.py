@@ -515,3 +515,20 @@ def test_licences_within_lines(spark, corpus):
     got = {r.doc_id: r.families for r in licences.scan(documents(spark, rows)).collect()}
     assert [got[200 + i] for i in range(len(said))] == [families for families, _ in said]
     assert all(got[i] == "" for i, _ in corpus)
+
+
+def test_licence_model_learns_from_every_line(spark):
+    """More lines than any sample would hold: all are counted, and the threshold is that of all of them."""
+    texts = [(i, "\n".join(f"line {i} {k} of the work" for k in range(500))) for i in range(20)]
+    lines = licences.paragraphs(documents(spark, texts))
+    features = licences.Features(licences._grams(licences._template_rows(spark)))
+    assert licences.unknown_lines(lines, features).agg(F.sum("n")).first()[0] == 10_000
+    like = [(30, "Released under the MIT License.")]
+    assert licences.unknown_lines(licences.paragraphs(documents(spark, like)), features).count() == 0
+
+
+def test_licence_threshold_counts_rare_lines(spark):
+    """Of 10,000 lines 21 reach 0.7: one more than may; of 20 none decides."""
+    for few, want in ((21, 0.7001), (20, 0.5)):
+        rows = [(0.1, 10_000 - few), (0.70005, few)]
+        assert licences._threshold(spark.createDataFrame(rows, "probability double, n long")) == want

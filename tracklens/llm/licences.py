@@ -1,9 +1,10 @@
 """Licence scan: a trained paragraph classifier whose findings are confirmed against templates.
 
-A paragraph is a line. Its words, pairs and triples of words are hashed into a sparse vector, and a multinomial
+A paragraph is a line. Its words, pairs and triples of words that occur in a template make a sparse vector, and a multinomial
 logistic regression with a class for "no licence" gives a probability for each family. It is trained on the
-templates below and on at most ``UNKNOWN_SAMPLE`` lines of the corpus, those of smallest hash. The unknown class is
-calibrated on a second such sample: a family counts only above a probability that all but ``FALSE_SHARE`` of those lines
+templates below and on every line of the corpus that is not like a template: lines of equal vectors are one row with their
+number as its weight, so nothing is left out. The unknown class is calibrated on the same lines, whose probabilities are
+counted in steps of ``1 / STEPS``: a family counts only above a probability that all but ``FALSE_SHARE`` of them
 stay under. What is left is compared with the family's templates: most of the line's word pairs must occur there, with a
 pair that names the family. A declaration or licence text may also be a part of a longer line: a line that holds most
 of the word pairs of a single template, and one that names its family, has that family too, whatever else it says. A line
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,9 @@ from pyspark.sql import functions as F
 from tracklens.llm.columns import ident, outward
 from tracklens.session import written
 
-FEATURES = 1 << 13
-UNKNOWN_SAMPLE = 3000
 FALSE_SHARE = 0.002
-LEAST_PROBABILITY = 0.5
+STEPS = 10_000
+LEAST_PROBABILITY, MOST_PROBABILITY = 0.5, 0.9
 CONFIRMED_SHARE = 0.5
 #: Share of a template's word pairs that a line must hold to contain it, and the fewest pairs such a template has; shorter
 #: ones are titles, which must be the line.
@@ -134,15 +134,33 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:\.\p{N}+)*"), F.lit(0))
 
 
-def _featured(rows: DataFrame) -> DataFrame:
-    """Adds ``pairs`` and the sparse ``features`` of ``words``."""
+def _grams(rows: DataFrame) -> DataFrame:
+    """Adds ``pairs`` and ``grams``, all words, pairs and triples, of ``words``."""
     steps = PipelineModel(
         [NGram(n=2, inputCol="words", outputCol="pairs"), NGram(n=3, inputCol="words", outputCol="triples")]
     )
-    grams = steps.transform(rows).withColumn("grams", F.concat("words", "pairs", "triples")).drop("triples")
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(grams).drop(
-        "grams"
-    )
+    return steps.transform(rows).withColumn("grams", F.concat("words", "pairs", "triples")).drop("triples")
+
+
+class Features:
+    """The words, pairs and triples of the templates as positions of a sparse vector; all others have none."""
+
+    def __init__(self, templates: DataFrame):
+        found = {r.gram for r in templates.select(F.explode("grams").alias("gram")).distinct().collect()}  # fixed values
+        names = sorted(found, key=lambda g: (g.count(" "), g))
+        self.pairs = [g.count(" ") for g in names].index(1), sum(g.count(" ") < 2 for g in names)
+        self.model = CountVectorizerModel.from_vocabulary(names, inputCol="grams", outputCol="features")
+        self.model.setBinary(True)
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """Adds ``pairs`` and the sparse ``features`` of ``words``."""
+        return self.model.transform(_grams(rows)).drop("grams")
+
+    def known_pairs(self) -> Column:
+        """How many distinct pairs of templates the ``features`` hold."""
+        first, end = self.pairs
+        places = F.unwrap_udt("features")["indices"]
+        return F.size(F.filter(places, lambda i: (i >= first) & (i < end)))
 
 
 def _families() -> list[str]:
@@ -156,10 +174,10 @@ def _once(rows: DataFrame, keep: list[str], **made: Column) -> DataFrame:
 
 
 class Scanner:
-    """A trained model with its calibrated threshold."""
+    """A trained model with its features and its calibrated threshold."""
 
-    def __init__(self, model, threshold: float, templates: DataFrame):
-        self.model, self.threshold, self.templates = model, threshold, templates
+    def __init__(self, model, features: Features, threshold: float, templates: DataFrame):
+        self.model, self.features, self.threshold, self.templates = model, features, threshold, templates
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """Adds ``family`` (the likeliest licence) and its ``probability``, and drops the ``features``."""
@@ -205,14 +223,6 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return _once(lines, ["did", "pos"], words=words_of(F.col("line"))).where(F.size("words") >= MIN_WORDS)
 
 
-def sampled_paragraphs(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count: int = 2 * UNKNOWN_SAMPLE
-) -> DataFrame:
-    """:func:`paragraphs` of the ``count`` lines of smallest hash, whose words alone are looked for."""
-    picked = _lines(docs, id_col, text_col).orderBy(F.xxhash64("line", "did", "pos"), "did", "pos").limit(count)
-    return picked.select("did", "pos", words_of(F.col("line")).alias("words")).where(F.size("words") >= MIN_WORDS)
-
-
 def _template_rows(spark: SparkSession) -> DataFrame:
     rows = [(f, t) for f, texts in TEMPLATES.items() for t in texts]
     return spark.createDataFrame(rows, "family string, text string").withColumn("words", words_of(F.col("text")))
@@ -235,43 +245,56 @@ def _template_pairs(featured: DataFrame) -> DataFrame:
     )
 
 
-def train(sampled: DataFrame) -> Scanner:
-    """A scanner from the templates and a bounded sample of the corpus's lines (``did, pos, words``)."""
-    spark = sampled.sparkSession
-    templates = _featured(_template_rows(spark))
+def unknown_lines(lines: DataFrame, features: Features) -> DataFrame:
+    """``features, n``: the vectors of all lines (``words``) that are not like a template, and how many lines have each."""
+    made = features.of(lines)
+    clean = features.known_pairs() < CONFIRMED_SHARE * F.size("pairs")
+    return made.where(clean).groupBy("features").agg(F.count("*").alias("n"))
+
+
+def train(lines: DataFrame) -> Scanner:
+    """A scanner from the templates and all lines of the corpus (``did, pos, words``)."""
+    spark = lines.sparkSession
+    rows = _template_rows(spark)
+    features = Features(_grams(rows))
+    templates = features.of(rows)
     names = F.array(*[F.lit(f) for f in _families()])
-    known = templates.select("family", "features")
     pairs = written(_template_pairs(templates), "licence-templates")
-    all_pairs = pairs.select(F.flatten(F.collect_list("template_pairs")).alias("all_pairs"))
-    picked = written(sampled, "licence-sample")
-    sample = _featured(picked).crossJoin(F.broadcast(all_pairs))  # one row
-    # lines like a template are no examples of "no licence"
-    clean = F.size(F.array_intersect("pairs", "all_pairs")) < CONFIRMED_SHARE * F.size("pairs")
-    sample = sample.where(clean).withColumn("half", F.pmod(F.xxhash64(F.lit(1), "words"), F.lit(2)))
+    unknown = written(unknown_lines(lines, features), "licence-lines")
     misses = spark.createDataFrame([(t,) for t in NEAR_MISSES], "text string")
-    misses = _featured(misses.withColumn("words", words_of(F.col("text"))))
-    unknown = sample.where("half = 0").select("features").unionByName(misses.select("features"))
-    rows = known.unionByName(unknown.select(F.lit(UNKNOWN).alias("family"), "features"))
-    counted = rows.groupBy("family").count()
+    misses = features.of(misses.withColumn("words", words_of(F.col("text"))))
+    rows = templates.select("family", "features", F.lit(1).cast("long").alias("n"))
+    for more in (unknown, misses.select("features", F.lit(1).cast("long").alias("n"))):
+        rows = rows.unionByName(more.withColumn("family", F.lit(UNKNOWN)))
+    counted = rows.groupBy("family").agg(F.sum("n").alias("all"))
     rows = rows.join(F.broadcast(counted), "family").select(
         "features",
         (F.array_position(names, F.col("family")) - 1).cast("double").alias("label"),
         # every family weighs the same, the unknown class as much as all of them
         F.when(F.col("family") == UNKNOWN, float(len(TEMPLATES))).otherwise(1.0).alias("share"),
-        "count",
+        (F.col("n") / F.col("all")).alias("part"),
     )
-    rows = rows.withColumn("weight", F.col("share") / F.col("count"))
-    rows = written(rows.select("features", "label", "weight").repartition(1), "licence-training")
+    rows = rows.select("features", "label", (F.col("share") * F.col("part")).alias("weight"))
     fitted = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1e-4, maxIter=25, standardization=False
     ).fit(rows)
-    scanner = Scanner(fitted, LEAST_PROBABILITY, pairs)
-    other = scanner.scored(sample.where("half = 1").select("features"))
-    high = other.agg(F.percentile("probability", 1 - FALSE_SHARE)).first()[0]
-    scanner.threshold = max(LEAST_PROBABILITY, min(high or 0.0, 0.9))
+    scanner = Scanner(fitted, features, LEAST_PROBABILITY, pairs)
+    scanner.threshold = _threshold(scanner.scored(unknown))
     return scanner
 
 
+def _threshold(scored: DataFrame) -> float:
+    """The least step, within the bounds, that at most ``FALSE_SHARE`` of the lines (``n`` a row) reach."""
+    step = F.when(F.col("probability") >= LEAST_PROBABILITY, F.floor(F.col("probability") * STEPS))
+    counted = {r.step: r.n for r in scored.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).collect()}
+    spare, total = FALSE_SHARE * sum(counted.values()), 0
+    for at in sorted((k for k in counted if k is not None), reverse=True):
+        total += counted[at]
+        if total > spare:
+            return min((at + 1) / STEPS, MOST_PROBABILITY)
+    return LEAST_PROBABILITY
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_paragraphs, n_licences, families, best_similarity`` for every id of ``docs``.
 
@@ -279,8 +302,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     have one paragraph and no licence. Rows of one id are one document, rows without an id too. Other columns are
     ignored.
     """
-    scanner = train(sampled_paragraphs(docs, id_col, text_col))
-    lines = _featured(paragraphs(docs, id_col, text_col))
+    lines = paragraphs(docs, id_col, text_col)
+    scanner = train(lines)
+    lines = scanner.features.of(lines)
     hits = scanner.confirmed(scanner.scored(lines)).groupBy("did").agg(
         F.count("*").alias("n_licences"),
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
