@@ -532,3 +532,16 @@ def test_licence_threshold_counts_rare_lines(spark):
     for few, want in ((21, 0.7001), (20, 0.5)):
         rows = [(0.1, 10_000 - few), (0.70005, few)]
         assert licences._threshold(spark.createDataFrame(rows, "probability double, n long")) == want
+
+
+def test_suffix_rows_follow_the_text_not_the_tasks(spark, corpus):
+    """A batch sends one row of a kind to a bucket, and buckets are counted by the text alone."""
+    rows = [(i, f"{text} {text}") for i, text in corpus]
+    texts = documents(spark, rows).selectExpr("coalesce(doc_id, -1) AS did", "xxhash64(text) AS text_key", "text")
+    buckets = suffixes.bucket_count(texts)
+    size = sum(len(t.encode()) for _, t in rows)
+    assert buckets == -(-size // suffixes.BUCKET_BYTES) == suffixes.bucket_count(texts.repartition(40))
+    positions = suffixes.chosen_positions(texts.repartition(40), buckets)
+    assert 0 < positions.count() <= 40 * 2 * buckets
+    assert suffixes.shared_stretches(positions, buckets).count() <= (40 + 2 * buckets) * buckets
+    assert suffixes.bucket_count(texts.limit(0)) == 1

@@ -43,7 +43,8 @@ FIELDS = [
 RECORD = np.dtype(FIELDS)
 SPAN = np.dtype([("start", "<u4"), ("count", "u1")])
 MARKED = [("did", "<i8"), ("text", "<i8"), ("start", "<u4"), ("count", "u1")]
-DOCUMENT_BUCKETS = 4096
+#: Text a bucket stands for, of ranks as of documents: a batch sends at most one row of a kind to each.
+BUCKET_BYTES = 2 << 20
 SIDE = 13
 RECORDS, SPANS, LOOK = 0, 1, 2
 
@@ -140,7 +141,7 @@ def _unpacked(data: bytes, fields: list[tuple[str, str]] = FIELDS) -> np.ndarray
 def _dealt(records: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """A batch's records by bucket of ranks; those a smaller document of the batch repeats go as spans by document."""
     records, _, repeat = _smallest(records)
-    yield _spans(records[repeat], SPANS)
+    yield _spans(records[repeat], SPANS, buckets)
     records = records[~repeat]
     bucket = (records["rank"] >> np.uint64(40)).astype(np.int64) % buckets
     yield _by_bucket(records, bucket, RECORDS, FIELDS)
@@ -168,10 +169,10 @@ def _smallest(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return records, new, records["did"] > least
 
 
-def _spans(records: np.ndarray, kind: int) -> pa.RecordBatch:
+def _spans(records: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
     """The stretches' places by bucket of documents."""
     mixed = _mixed(records["did"].view(np.uint64) * _M1 + records["text"].view(np.uint64) * _M3)
-    return _by_bucket(records, (mixed >> np.uint64(40)).astype(np.int64) % DOCUMENT_BUCKETS, kind, MARKED)
+    return _by_bucket(records, (mixed >> np.uint64(40)).astype(np.int64) % buckets, kind, MARKED)
 
 
 def spans_by_document(parts: DataFrame, kind: int) -> DataFrame:
@@ -259,7 +260,7 @@ def _shared(keys: tuple[np.ndarray, ...], dids: np.ndarray, where: np.ndarray) -
     return out
 
 
-def shared_stretches(positions: DataFrame) -> DataFrame:
+def shared_stretches(positions: DataFrame, buckets: int) -> DataFrame:
     """``bucket, kind, data``: spans that repeat as a whole (1) and spans whose windows must be looked at (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +277,7 @@ def shared_stretches(positions: DataFrame) -> DataFrame:
         if not gathered:
             return
         records, _, repeat = _smallest(np.concatenate(gathered))
-        yield _spans(records[repeat], SPANS)
+        yield _spans(records[repeat], SPANS, buckets)
         records = records[~repeat]
         last = records["side"].astype(np.int64) - records["count"] + 1  # of the last window's start
         left = _shared((records["left"], records["rank"]), records["did"], records["side"] >= SIDE)
@@ -288,7 +289,7 @@ def shared_stretches(positions: DataFrame) -> DataFrame:
         records = records[look]
         records["start"] += skipped[look].astype(np.uint32)
         records["count"] = taken[look]
-        yield _spans(records, LOOK)
+        yield _spans(records, LOOK, buckets)
 
     return positions.repartition("bucket").mapInArrow(run, PARTS)
 
@@ -320,7 +321,7 @@ def single_windows(joined: DataFrame, buckets: int) -> DataFrame:
     return joined.mapInArrow(run, PARTS)
 
 
-def repeated_windows(windows: DataFrame) -> DataFrame:
+def repeated_windows(windows: DataFrame, buckets: int) -> DataFrame:
     """The windows that a smaller document has, as spans by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +337,7 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
             ]
         if gathered:
             records, _, repeat = _smallest(np.concatenate(gathered))
-            yield _spans(records[repeat], SPANS)
+            yield _spans(records[repeat], SPANS, buckets)
 
     return windows.repartition("bucket").mapInArrow(run, PARTS)
 
@@ -348,6 +349,12 @@ def _covered(size: int, spans: np.ndarray) -> np.ndarray:
     return np.cumsum(begins - ends)[:-1] > 0
 
 
+def bucket_count(texts: DataFrame) -> int:
+    """One bucket for each ``BUCKET_BYTES`` of text, however many tasks there are."""
+    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0]
+    return max(1, -(-(total or 0) // BUCKET_BYTES))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` for every row of ``docs``.
 
@@ -355,15 +362,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     input. NULL texts are empty, texts under 50 bytes never change. Rows of one id are one document: they do
     not repeat each other, and each text of an id is cut by itself. Rows without an id are the smallest document. ``kept`` is binary, as a cut may fall inside a character. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select("did", F.xxhash64("text").alias("text_key"), "text")  # of an id's texts
     document = ["did", "text_key"]
-    spans = written(shared_stretches(chosen_positions(texts, buckets)), "stretches")
+    buckets = bucket_count(texts)
+    spans = written(shared_stretches(chosen_positions(texts, buckets), buckets), "stretches")
     spread = texts.repartition(*document)
     look = spread.join(spans_by_document(spans, LOOK), document).select(*document, "text", "spans")
-    windows = repeated_windows(single_windows(look, buckets))
+    windows = repeated_windows(single_windows(look, buckets), buckets)
     joined = spread.join(spans_by_document(spans.unionByName(windows), SPANS), document, "left")
     joined = joined.select("did", "text", "spans")
 
