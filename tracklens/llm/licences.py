@@ -247,8 +247,8 @@ def _template_pairs(featured: DataFrame) -> DataFrame:
 
 def unknown_lines(lines: DataFrame, features: Features) -> DataFrame:
     """``features, n``: the vectors of all lines (``words``) that are not like a template, and how many lines have each."""
-    made = features.of(lines)
-    clean = features.known_pairs() < CONFIRMED_SHARE * F.size("pairs")
+    made = _once(features.of(lines), [], features=F.col("features"), n_pairs=F.size("words") - 1)
+    clean = features.known_pairs() < CONFIRMED_SHARE * F.col("n_pairs")
     return made.where(clean).groupBy("features").agg(F.count("*").alias("n"))
 
 
