@@ -15,14 +15,27 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracklens.llm.chunks import Remembered, lettered, spelled, text_slices, tokenizers_of
+from tracklens.llm.chunks import (
+    LATIN,
+    PIECE,
+    binary,
+    grouped,
+    interleaved,
+    lettered,
+    pieces_of,
+    pooled,
+    spelled,
+    text_slices,
+    tokenizers_of,
+)
 from tracklens.llm.columns import ident, outward
 from tracklens.llm.huffman import LIMIT, Coder, code_lengths
 from tracklens.session import shared_folder
@@ -31,6 +44,8 @@ END = 0
 BLOCK_IDS = 65_536
 FILE_IDS = 4_000_000
 MAX_FILES = 20_000
+#: Plain chunks, some of them joined by single line ends.
+PLAIN_LINES = f"^[!-&(-~{LATIN}][!-~{LATIN}]*(\n[!-~{LATIN}]+)*\n?$"
 POLYNOMIAL = 0xEDB88320
 
 
@@ -41,17 +56,14 @@ def tokenizer_path() -> str:
 
 
 class ChunkEncoder:
-    """Texts to ids of a byte-level BPE, each distinct chunk encoded once while it is remembered.
+    """Texts to ids of a byte-level BPE, each distinct chunk of a slice and each distinct piece of its chunks encoded once.
 
     A space before a visible character always begins a new piece of this pre-tokenizer, so what lies between two such
-    spaces can be encoded alone. A chunk of Latin letters, with one mark after it or none, is one piece or two; pieces
+    spaces can be encoded alone. Chunks of ASCII and Latin letters are cut into their pieces here; pieces
     go to the model many at a time, without the pre-tokenizer, and are told apart by their lengths in bytes. Any other chunk goes
-    through the whole tokenizer, and so does a whole text that holds an added token's string. What is remembered is bounded, and
-    lives as long as its task.
+    through the whole tokenizer, and so does a whole text that holds an added token's string.
     """
 
-    MARKS = frozenset(".,;:!?)\"")
-
     def __init__(self, path: str, end: int):
         self.tokenizer, self.model = tokenizers_of(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -61,16 +73,13 @@ class ChunkEncoder:
             self.sizes[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = re.compile("|".join(re.escape(a.content) for a in added)) if added else None
-        self.end = np.array([end], self.kind).tobytes()
+        self.end = pa.scalar(np.array([end], self.kind).tobytes(), pa.binary())
+        self.blank = lettered(" ")
         self.blank_next = re.compile(r" (?:\s|\Z)")
         self.before_visible = re.compile(r" (?=\S)")
-        self.latin = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
-        self.marks = dict(zip(sorted(self.MARKS), self._whole(sorted(self.MARKS)), strict=True))
-        self.known = Remembered()
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in made]
+    def _whole(self, texts: list[str]) -> pa.Array:
+        return binary((e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), self.kind)
 
     def _ends(self, ids: np.ndarray, words: list[str]) -> np.ndarray:
         """Where the letters of the tokens add up to those of the words."""
@@ -78,39 +87,38 @@ class ChunkEncoder:
         stops = np.searchsorted(reached, wanted)
         return stops if len(ids) and stops[-1] < len(ids) and (reached[stops] == wanted).all() else stops[:0]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """See that every chunk is known."""
-        words: dict[str, list[str]] = {}
-        other: list[str] = []
-        for chunk in self.known.unknown(chunks):
-            word = chunk if chunk.isalpha() else chunk[:-1]
-            plain = word.isalpha() and (word is chunk or chunk[-1] in self.MARKS)
-            if plain and (word.isascii() or self.latin.fullmatch(word)):
-                words.setdefault(word, []).append(chunk)
-            else:
-                other.append(chunk)
-        new = [w for w in words if w not in self.known]
-        made = dict(zip(new, spelled(self.model, [lettered(" " + w) for w in new], self.kind, self._ends), strict=True))
-        for word, held in words.items():
-            ids = made[word] if word in made else self.known[word]
-            for chunk in held:
-                self.known.put(chunk, ids if chunk == word else ids + self.marks[chunk[-1]])
-        for chunk, ids in zip(other, self._whole([" " + c for c in other]), strict=True):
-            self.known.put(chunk, ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            if self.added is not None and self.added.search(text):
-                split.append(None)
-            else:
-                split.append(self.before_visible.split(text) if self.blank_next.search(text) else text.split(" "))
-        self._learn(set(chain.from_iterable(s[1:] for s in split if s)))
-        heads = self._whole([s[0] if s else t for s, t in zip(split, texts, strict=True)])
-        look = self.known.__getitem__
-        return [
-            h + b"".join(map(look, s[1:])) + self.end if s else h + self.end for h, s in zip(heads, split, strict=True)
-        ]
+    def _words(self, words: pa.Array) -> pa.Array:
+        mapped = [w.replace(" ", self.blank) if w.isascii() and w != "\n" else lettered(w) for w in words.to_pylist()]
+        return spelled(self.model, mapped, self.kind, self._ends)
+
+    def _chunks(self, chunks: pa.Array) -> pa.Array:
+        # after its space, a chunk that begins like a contraction is none; a line end is a piece unless it is next to another
+        plain = pc.match_substring_regex(chunks, PLAIN_LINES)
+        edges, pieces = pieces_of(chunks.filter(plain), PIECE % "+", " ")
+        other = self._whole([" " + c for c in chunks.filter(pc.invert(plain)).to_pylist()])
+        return interleaved(np.asarray(plain), grouped(edges, pooled(pieces, self._words)), other)
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text, a NULL being empty, as little-endian values with the end id."""
+        texts = pc.fill_null(texts, "")
+        lone = [bool(self.added and self.added.search(t)) or self.blank_next.search(t) is not None for t in texts.to_pylist()]
+        usual = ~np.array(lone, bool)
+        lists = pc.split_pattern(texts.filter(pa.array(usual)), " ")
+        if not usual.all():
+            rest = texts.filter(pa.array(~usual)).to_pylist()
+            split = [[t] if self.added and self.added.search(t) else self.before_visible.split(t) for t in rest]
+            lists = interleaved(usual, lists, pa.array(split, lists.type))
+        first, values = np.asarray(lists.offsets), lists.flatten()
+        follows = np.ones(len(values), bool)
+        follows[first[:-1]] = False
+        ids = pooled(values.filter(pa.array(follows)), self._chunks)
+        heads = self._whole(values.take(pa.array(first[:-1])).to_pylist())
+        return pc.binary_join_element_wise(heads, grouped(first - np.arange(len(first)), ids), self.end, b"")
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str, end: int) -> ChunkEncoder:
+    return ChunkEncoder(path, end)
 
 
 def token_ids(
@@ -119,14 +127,12 @@ def token_ids(
     """``did, ids, n``: every row's ids with the end id, as little-endian values of 16 bits (32 for a larger vocabulary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path, end)
+        encoder = _encoder(path, end)
         for batch in batches:
             for part in text_slices(batch, 1):
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                n = pa.array([len(i) // encoder.kind.itemsize for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), n], names=["did", "ids", "n"]
-                )
+                ids = encoder.encode(part.column(1))
+                n = pc.divide(pc.binary_length(ids), encoder.kind.itemsize).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, n], names=["did", "ids", "n"])
 
     picked = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "did long, ids binary, n long")
