@@ -22,7 +22,7 @@ def encoder_of(name):
     return tokenfiles, made, Tokenizer.from_file(tokenfiles.tokenizer_path()), 0
 
 
-@pytest.mark.parametrize("name", ["tokenfiles"])
+@pytest.mark.parametrize("name", ["packing", "tokenfiles"])
 def test_columns_encode_like_the_plain_call(name):
     _, encoder, plain, end = encoder_of(name)
     want = [[*plain.encode(t or "", add_special_tokens=False).ids, end] for t in ODD]
@@ -32,7 +32,7 @@ def test_columns_encode_like_the_plain_call(name):
     assert len(encoder.encode(texts.slice(0, 0))) == 0
 
 
-@pytest.mark.parametrize("name", ["tokenfiles"])
+@pytest.mark.parametrize("name", ["packing", "tokenfiles"])
 def test_each_piece_goes_to_the_model_once(name, monkeypatch):
     module, encoder, _, _ = encoder_of(name)
     given, spelled = [], module.spelled

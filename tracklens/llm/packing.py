@@ -14,17 +14,29 @@ shard holds about ``SHARD_TOKENS`` ids and is one task's work.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.chunks import lettered, text_slices, tokenizers_of
+from tracklens.llm.chunks import (
+    PIECE,
+    PLAIN,
+    binary,
+    grouped,
+    interleaved,
+    lettered,
+    pieces_of,
+    pooled,
+    spelled,
+    text_slices,
+    tokenizers_of,
+)
 from tracklens.llm.columns import ident, outward
 from tracklens.session import written
 
@@ -35,8 +47,7 @@ QUERY_TERMS = 12
 NEIGHBOURS = 24
 K1, B = 1.2, 0.75
 VOCABULARY = 65_536
-CACHED_WORDS = 400_000
-CACHED_CHUNKS = 150_000
+KIND = np.dtype("<u2")
 
 
 def tokenizer_path() -> str:
@@ -45,66 +56,54 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder(dict):
-    """Texts to ids of the word-level BPE, one white-space chunk at a time, remembering a bounded number of them.
+class Encoder:
+    """Texts to ids of the word-level BPE, each distinct chunk of a slice and each distinct word of its chunks encoded once.
 
-    No token of this vocabulary crosses white space, so chunks can be encoded alone. Chunks of Latin letters go straight to
-    the merges, word by word; any other goes through the whole tokenizer. The dictionary holds chunks.
+    No token of this vocabulary crosses white space, so chunks can be encoded alone. Chunks of ASCII and Latin letters are cut
+    into words here; words go to the merges many at a time and are told apart by their last tokens. Any other chunk goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        self.whole = tokenizers_of(path)[0]
-        self.model = self.whole.model
-        self.words: dict[str, bytes] = {}
-        self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\w\s])+")
-        self.simple = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įĲ-ž]+")
-        self.blanks = re.compile(r"[ \t\n\r\x0b\x0c]+")
-        # white space of str.split that is left to the tokenizer
-        self.unusual = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            mapped = word if word.isascii() else lettered(word)
-            found = array("H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-            if len(self.words) < CACHED_WORDS:
-                self.words[word] = found
-        return found
+        self.whole, self.model = tokenizers_of(path)
+        vocabulary = self.whole.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.end = pa.scalar(END.to_bytes(2, "little"), pa.binary())
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        mapped = [w if w.isascii() else lettered(w) for w in words.to_pylist()]
+        return spelled(self.model, mapped, KIND, lambda ids, _: np.flatnonzero(self.closing[ids]))
+
+    def _chunks(self, chunks: pa.Array) -> pa.Array:
+        plain = pc.and_not(pc.match_substring_regex(chunks, PLAIN), pc.match_substring(chunks, "<|"))
+        edges, words = pieces_of(pc.utf8_lower(chunks.filter(plain)), PIECE % "")
+        other = self.whole.encode_batch_fast(chunks.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
+        made = grouped(edges, pooled(words, self._words))
+        return interleaved(np.asarray(plain), made, binary((e.ids for e in other), KIND))
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text, a NULL being empty, as little-endian unsigned 16-bit values with the end id."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        ids = pooled(lists.flatten(), self._chunks)
+        return pc.binary_join_element_wise(grouped(np.asarray(lists.offsets), ids), self.end, b"")
 
-    def __missing__(self, chunk: str) -> bytes:
-        if (chunk.isascii() or self.simple.fullmatch(chunk)) and "<|" not in chunk and chunk.isprintable():
-            lower = chunk.lower()
-            if lower.isalpha():
-                found = self._word(lower)
-            elif (head := lower[:-1]).isalpha():
-                found = self._word(head) + self._word(lower[-1])
-            else:
-                found = b"".join(map(self._word, self.split.findall(lower)))
-        else:
-            found = array("H", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
-        if len(self) < CACHED_CHUNKS:
-            self[chunk] = found
-        return found
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 16-bit values, with the end id."""
-        text = text or ""
-        chunks = filter(None, self.blanks.split(text)) if self.unusual.search(text) else text.split()
-        return b"".join(map(self.__getitem__, chunks)) + END.to_bytes(2, "little")
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``did, ids, n``: the ids of every row as little-endian 16-bit values in a binary column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path).encode  # lives as long as its task
+        encode = _encoder(path).encode
         for batch in batches:
             for part in text_slices(batch, 1):
-                ids = [encode(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 2 for i in ids], pa.int64())],
-                    names=["did", "ids", "n"],
-                )
+                ids = encode(part.column(1))
+                n = pc.divide(pc.binary_length(ids), KIND.itemsize).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, n], names=["did", "ids", "n"])
 
     picked = docs.select(ident(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "did long, ids binary, n long")
