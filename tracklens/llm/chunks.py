@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 32_000_000
 WORDS_AT_ONCE = 100
+LIBRARY_CHARS = 300_000
 #: Latin letters beyond ASCII that no normal form changes and that have one lower-case letter each.
 LATIN = "\xc0-\xd6\xd8-\xf6\xf8-įĲ-ž"
 _LETTERS, _MARK = f"[A-Za-z{LATIN}]+", r"[!-/:-@\[-`{-~]+"
@@ -97,9 +98,17 @@ def spelled(model, words: list[str], kind: np.dtype, ends) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(at), pa.py_buffer(b"".join(raw))])
 
 
-def binary(ids: Iterator, kind: np.dtype) -> pa.Array:
-    """Lists of ids as binary values."""
-    return pa.array([np.array(i, kind).tobytes() for i in ids], pa.binary())
+def encoded(tokenizer, texts: list[str], kind: np.dtype) -> pa.Array:
+    """The ids of each text by the whole tokenizer, some ``LIBRARY_CHARS`` at a time: the library's results are many times larger."""
+    out: list[bytes] = []
+    first = size = 0
+    for at, text in enumerate(texts, 1):
+        size += len(text) + 20
+        if size >= LIBRARY_CHARS or at == len(texts):
+            made = tokenizer.encode_batch_fast(texts[first:at], add_special_tokens=False)
+            out += [np.array(e.ids, kind).tobytes() for e in made]
+            first, size = at, 0
+    return pa.array(out, pa.binary())
 
 
 def text_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
@@ -110,3 +119,4 @@ def text_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     for a, b in zip(edges, edges[1:], strict=False):
         if b > a:
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()  # of what the slice before took

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tracklens.llm.chunks import (
     PIECE,
     PLAIN,
-    binary,
+    encoded,
     grouped,
     interleaved,
     lettered,
@@ -78,15 +78,17 @@ class Encoder:
     def _chunks(self, chunks: pa.Array) -> pa.Array:
         plain = pc.and_not(pc.match_substring_regex(chunks, PLAIN), pc.match_substring(chunks, "<|"))
         edges, words = pieces_of(pc.utf8_lower(chunks.filter(plain)), PIECE % "")
-        other = self.whole.encode_batch_fast(chunks.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
-        made = grouped(edges, pooled(words, self._words))
-        return interleaved(np.asarray(plain), made, binary((e.ids for e in other), KIND))
+        other = encoded(self.whole, chunks.filter(pc.invert(plain)).to_pylist(), KIND)
+        return interleaved(np.asarray(plain), grouped(edges, pooled(words, self._words)), other)
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of each text, a NULL being empty, as little-endian unsigned 16-bit values with the end id."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        ids = pooled(lists.flatten(), self._chunks)
-        return pc.binary_join_element_wise(grouped(np.asarray(lists.offsets), ids), self.end, b"")
+        edges, chunks = np.array(lists.offsets), lists.flatten()
+        del lists
+        ids = pooled(chunks, self._chunks)
+        del chunks
+        return pc.binary_join_element_wise(grouped(edges, ids), self.end, b"")
 
 
 @lru_cache(maxsize=2)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tracklens.llm.chunks import (
     LATIN,
     PIECE,
-    binary,
+    encoded,
     grouped,
     interleaved,
     lettered,
@@ -79,7 +79,7 @@ class ChunkEncoder:
         self.before_visible = re.compile(r" (?=\S)")
 
     def _whole(self, texts: list[str]) -> pa.Array:
-        return binary((e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), self.kind)
+        return encoded(self.tokenizer, texts, self.kind)
 
     def _ends(self, ids: np.ndarray, words: list[str]) -> np.ndarray:
         """Where the letters of the tokens add up to those of the words."""
@@ -111,8 +111,12 @@ class ChunkEncoder:
         first, values = np.asarray(lists.offsets), lists.flatten()
         follows = np.ones(len(values), bool)
         follows[first[:-1]] = False
-        ids = pooled(values.filter(pa.array(follows)), self._chunks)
-        heads = self._whole(values.take(pa.array(first[:-1])).to_pylist())
+        heads = values.take(pa.array(first[:-1])).to_pylist()
+        values = values.filter(pa.array(follows))
+        del lists, texts
+        ids = pooled(values, self._chunks)
+        del values
+        heads = self._whole(heads)
         return pc.binary_join_element_wise(heads, grouped(first - np.arange(len(first)), ids), self.end, b"")
 
 
